@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -22,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where it is unset, as in tests."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="quire-shared-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    return at or _own_dir()
+
+
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="quire-shared-")
 
 
 def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ shingle among the smallest ``n - ceil(t * n) + 1`` of both (two sets that link a
 with itself by the R-tree, and the surviving pairs are verified on the whole sets.
 
 Large groups of near copies are joined in two rounds, so that no group is expanded into all pairs. In round one each
-node proposes one link, to the candidate of the highest bound among the first and the preceding node of its buckets;
+node proposes links to the PROPOSALS candidates of the highest bound among the first and the preceding node of its buckets;
 connected components follow from the verified proposals. In round two the R-tree join gives only pairs whose components
 still differ, and all that survive the bound are verified: no link between components is lost.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .common import MIX_A, U64, mix, pieces, shingle_sets, stash
 
@@ -28,6 +28,8 @@ from .common import MIX_A, U64, mix, pieces, shingle_sets, stash
 CELL = 2048
 LEAF = 32
 BLOOM_BITS = 1 << 23
+#: Links that a node proposes in round one.
+PROPOSALS = 3
 
 
 def _fingerprint(s: np.ndarray) -> int:
@@ -38,14 +40,19 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def _n_groups(n: int) -> int:
-    """Groups of a point: a power of two, a quarter of the set at least, so that points of similar sets can be folded."""
-    return max(16, 1 << max(0, (n // 4 - 1)).bit_length())
+    """Groups of a point: a power of two, as many as shingles at least, so that points of similar sets can be folded."""
+    return max(16, 1 << max(0, n - 1).bit_length())
 
 
 def point(s: np.ndarray) -> bytes:
     g = _n_groups(len(s))
     counts = np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g)
-    return np.minimum(counts, 65535).astype("<u2").tobytes() if g < 1 << 31 else b""
+    # a count beyond 255 (never seen: groups are as many as shingles) would be written over 2 bytes
+    return counts.astype("u1").tobytes() if counts.max() < 256 else counts.astype("<u2").tobytes() + b"2"
+
+
+def counts_of(p: bytes) -> np.ndarray:
+    return np.frombuffer(p, "u1").astype(np.int32) if len(p) % 2 == 0 else np.frombuffer(p[:-1], "<u2").astype(np.int32)
 
 
 def fold(v: np.ndarray, g: int) -> np.ndarray:
@@ -61,21 +68,19 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def _nodes(percent: int):
-    def run(batches):
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                sets = shingle_sets(part.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([_fingerprint(s) for s in sets], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                    ],
-                    names=["doc_id", "node", "n"],
-                )
-
-    return run
+def _nodes(batches):
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            sets = shingle_sets(part.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array([_fingerprint(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([point(s) if len(s) else None for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "node", "n", "point"],
+            )
 
 
 def _prefixes(percent: int):
@@ -162,7 +167,7 @@ def _bounded(percent: int):
             fits = np.minimum(na, nb) >= need
             score = np.zeros(len(a))
             for i in np.flatnonzero(fits):
-                x, y = np.frombuffer(va[i], "<u2").astype(np.int64), np.frombuffer(vb[i], "<u2").astype(np.int64)
+                x, y = counts_of(va[i]), counts_of(vb[i])
                 g = min(len(x), len(y))
                 score[i] = np.minimum(fold(x, g), fold(y, g)).sum() / need[i]
             ok = fits & (score >= 1)
@@ -224,7 +229,7 @@ def _small(sig, cell, node, comp, n, points, percent: int):
         for x in i:
             found.setdefault((min(node[x], node[x + d]), max(node[x], node[x + d])), (x, x + d))
     for pair, (x, y) in found.items():
-        p, q = (np.frombuffer(points[k], "<u2").astype(np.int64) for k in (x, y))
+        p, q = (counts_of(points[k]) for k in (x, y))
         g = min(len(p), len(q))
         if np.minimum(fold(p, g), fold(q, g)).sum() >= least_overlap(n[x], n[y], percent):
             yield pair
@@ -252,7 +257,7 @@ def _tree_join(percent: int):
             x = slice(starts[k], starts[k] + sizes[k])
             if (comp[x] == comp[starts[k]]).all():
                 continue
-            own = [np.frombuffer(p, "<u2").astype(np.int64) for p in points.slice(starts[k], sizes[k]).to_pylist()]
+            own = [counts_of(p) for p in points.slice(starts[k], sizes[k]).to_pylist()]
             found += [(min(i, j), max(i, j)) for i, j in ((node[starts[k] + i], node[starts[k] + j]) for i, j in RTree(n[x], comp[x], own).pairs(percent))]
         fresh = list({p for p in found if p not in seen})
         if len(seen) > 200_000:
@@ -347,22 +352,23 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     """doc_id, n_shingles, component_id of every document; documents link when 100 * overlap >= percent * union."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     texts = docs.select("doc_id", "text")
-    members = stash(spark, texts.mapInArrow(_nodes(percent), "doc_id long, node long, n long"), "members")
+    members = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
     nodes = stash(spark, members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("carrier"), F.first("n").alias("n")), "nodes")
     pairs_of = texts.mapInArrow(_prefixes(percent), "sig long, node long")
     rows = pairs_of.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = stash(spark, rows, "buckets")
-    shared = rows.select("node").distinct()
-    points = stash(spark, _points(texts, shared, nodes, spark), "points")
+    known = members.filter("n > 0").join(rows.select("node").distinct(), "node", "left_semi")
+    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     best = _with_points(near, points).mapInArrow(_bounded(percent), "a long, b long, score double")
-    best = best.groupBy("b").agg(F.max_by("a", F.struct("score", "a")).alias("a")).select("a", "b")
+    best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
     links = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
     comp = components(spark, links)
 
     at = rows.select("sig", "node").join(comp, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
-    open_ = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi")
+    open_ = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
+    open_ = open_.groupBy("who", "m").agg(F.min("sig").alias("sig"))  # buckets of the same nodes are joined once
     tiles = F.ceil(F.col("m") / CELL).cast("int")
     at = at.join(open_.select("sig", "m"), "sig").withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
@@ -378,23 +384,6 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _points(texts: DataFrame, shared: DataFrame, nodes: DataFrame, spark: SparkSession) -> DataFrame:
-    """(node, n, point) of the nodes that share a bucket."""
-
-    def run(batches):
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                sets = [s for s in shingle_sets(part.column("text")) if len(s)]
-                one = {_fingerprint(s): s for s in sets}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(one), pa.int64()), pa.array([len(s) for s in one.values()], pa.int64()), pa.array([point(s) for s in one.values()], pa.binary())],
-                    names=["node", "n", "point"],
-                )
-
-    every = texts.mapInArrow(run, "node long, n long, point binary")
-    return every.join(shared, "node", "left_semi").dropDuplicates(["node"])
-
-
 def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
     x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
