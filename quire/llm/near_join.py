@@ -6,9 +6,10 @@ and the counts of a tree node's bounding box bound the overlap with all points i
 shingle among the smallest ``n - ceil(t * n) + 1`` of both (two sets that link always do). Each such bucket is joined
 with itself by the R-tree, and the surviving pairs are verified on the whole sets.
 
-Large groups of near copies are joined in two rounds, so that no group is expanded into all pairs. In round one each
+Large groups of near copies are joined in rounds, so that no group is expanded into all pairs. In round one each
 node proposes links to the PROPOSALS candidates of the highest bound among the first and the preceding node of its buckets;
-connected components follow from the verified proposals. In round two the R-tree join gives only pairs whose components
+connected components follow from the verified proposals; nodes next to each other in buckets of several components propose
+again. In the last round the R-tree join gives only pairs whose components
 still differ, and all that survive the bound are verified: no link between components is lost.
 
 Null and empty texts have an empty set and link with nothing. Repeated rows and equal texts fall into one component. A
@@ -30,6 +31,8 @@ LEAF = 32
 BLOOM_BITS = 1 << 23
 #: Links that a node proposes in round one.
 PROPOSALS = 3
+#: Further rounds of such proposals, between components and in another order each.
+ROUNDS = 3
 
 
 def _fingerprint(s: np.ndarray) -> int:
@@ -51,6 +54,12 @@ def point(s: np.ndarray) -> bytes:
     return counts.astype("u1").tobytes() if counts.max() < 256 else counts.astype("<u2").tobytes() + b"2"
 
 
+def coarse(s: np.ndarray) -> bytes:
+    """The point over a quarter as many groups, for the tree."""
+    g = max(32, _n_groups(len(s)) // 4)
+    return np.minimum(np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g), 255).astype("u1").tobytes()
+
+
 def counts_of(p: bytes) -> np.ndarray:
     return np.frombuffer(p, "u1").astype(np.int32) if len(p) % 2 == 0 else np.frombuffer(p[:-1], "<u2").astype(np.int32)
 
@@ -78,8 +87,9 @@ def _nodes(batches):
                     pa.array([_fingerprint(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([point(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([coarse(s) if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "node", "n", "point"],
+                names=["doc_id", "node", "n", "point", "coarse"],
             )
 
 
@@ -236,7 +246,7 @@ def _small(sig, cell, node, comp, n, points, percent: int):
 
 
 def _tree_join(percent: int):
-    """Rows (sig, cell, node, comp, n, point) sorted by (sig, cell, node): pairs of each cell. Cells of the same nodes are
+    """Rows (sig, cell, node, comp, n, coarse) sorted by (sig, cell, node): pairs of each cell. Cells of the same nodes are
     joined once. What is kept from batch to batch is the last cell, of bounded size."""
 
     def joined(rows: pa.Table, seen: set) -> pa.RecordBatch:
@@ -352,29 +362,45 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     """doc_id, n_shingles, component_id of every document; documents link when 100 * overlap >= percent * union."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     texts = docs.select("doc_id", "text")
-    members = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
+    members = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary, coarse binary"), "members")
     nodes = stash(spark, members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("carrier"), F.first("n").alias("n")), "nodes")
     pairs_of = texts.mapInArrow(_prefixes(percent), "sig long, node long")
     rows = pairs_of.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = stash(spark, rows, "buckets")
     known = members.filter("n > 0").join(rows.select("node").distinct(), "node", "left_semi")
-    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
+    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"), F.first("coarse").alias("coarse")), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     best = _with_points(near, points).mapInArrow(_bounded(percent), "a long, b long, score double")
     best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
     links = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
     comp = components(spark, links)
-
-    at = rows.select("sig", "node").join(comp, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+    for turn in range(ROUNDS):
+        at = _components_at(rows, comp)
+        apart = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("who"), F.count("*").alias("m")).filter("lo <> hi")
+        apart = apart.groupBy("who", "m").agg(F.min("sig").alias("sig"))
+        order = W.partitionBy("sig").orderBy(F.xxhash64(F.lit(turn), "node"))
+        back = F.explode(F.array(*[F.struct(F.lag("node", k).over(order).alias("other"), F.lag("comp", k).over(order).alias("its")) for k in (1, 2, 3)]))
+        next_ = at.join(apart.select("sig"), "sig").select("node", "comp", back.alias("x")).select("node", "comp", "x.*")
+        next_ = next_.filter("its is not null and its <> comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        best = _with_points(next_, points).mapInArrow(_bounded(percent), "a long, b long, score double")
+        best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
+        more = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
+        if not more.limit(1).count():
+            break
+        links = stash(spark, links.union(more), "found")
+        comp = components(spark, links)
+
+    at = _components_at(rows, comp)
     open_ = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
     open_ = open_.groupBy("who", "m").agg(F.min("sig").alias("sig"))  # buckets of the same nodes are joined once
     tiles = F.ceil(F.col("m") / CELL).cast("int")
     at = at.join(open_.select("sig", "m"), "sig").withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
     at = at.select("sig", "node", "comp", "t", "own", other.alias("o")).select("sig", "node", "comp", (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
-    at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point")
+    at = at.join(points.select("node", "n", "coarse"), "node").select("sig", "cell", "node", "comp", "n", "coarse")
     pairs = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent), "a long, b long").distinct()
+    pairs = _with_points(pairs, points).mapInArrow(_bounded(percent), "a long, b long, score double").select("a", "b")
     late = _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent)
     final = components(spark, links.union(late)).withColumnRenamed("comp", "root")
 
@@ -384,6 +410,10 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _components_at(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return rows.select("sig", "node").join(comp, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+
+
 def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
     x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
