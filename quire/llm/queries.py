@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
@@ -19,6 +19,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_lstm import extract_pages
+
+    return extract_pages(spark, table(spark, sf_dir, "pages"))
+
+
+def op2_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_tools import format_chat
+
+    return format_chat(spark, table(spark, sf_dir, "conversations"))
+
+
+def op3_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bit_sliced import top_k
+
+    return top_k(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
@@ -31,6 +49,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import license_scan
+
+    return license_scan(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -43,6 +67,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import merkle_fingerprints
+
+    return merkle_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_join import near_join
 
@@ -56,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mixing, op5_quality, op7_packing, op8_toxicity, op10_near_join, pipeline)}
+    return {f.__name__: f for f in (op1_html_lstm, op2_chat_tools, op3_bit_sliced, op4_mixing, op5_quality, op6_license_scan, op7_packing, op8_toxicity, op9_merkle, op10_near_join, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
