@@ -29,9 +29,10 @@ END = 2
 
 
 class WordIds:
-    """Ids of words, kept up to a bound. White space ends every pre-token of the tokenizer, so words are encoded alone."""
+    """Ids of words, kept up to a bound. White space ends every pre-token of the tokenizer, a letter ends before a full
+    stop or comma, and all is lowered by it: so words are encoded alone, in lower case and without these."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -40,40 +41,55 @@ class WordIds:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.lens: list[int] = []
+        self.flat = np.full(1 << 16, END, dtype=np.uint32)
+        self.starts, self.lens = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int32)
+        self.lens[0], self.used, self.known = 1, 1, 1  # entry 0 is the end of a text
+
+    def _add(self, words: list[str]) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), dtype=np.int32, count=len(got))
+        total, n = int(lens.sum()), len(got)
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.known + n > len(self.lens):
+            self.starts, self.lens = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens))
+        self.flat[self.used : self.used + total] = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=total)
+        self.lens[self.known : self.known + n] = lens
+        self.starts[self.known : self.known + n] = self.used + np.cumsum(lens) - lens
+        self.index.update(zip(words, range(self.known, self.known + n), strict=True))
+        self.used, self.known = self.used + total, self.known + n
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): ids of all texts, each ended by END; those of text i are ids[bounds[i]:bounds[i + 1]]."""
+        text = pc.fill_null(text, "")
+        if not pc.any(pc.match_substring(text, "<|")).as_py():  # special tokens are matched in their own case
+            text = pc.replace_substring_regex(pc.ascii_lower(text), "([a-z])([.,])", "\\1 \\2")
         offsets, flat = ascii_words(text)
         coded = pc.dictionary_encode(flat)
         words = coded.dictionary.to_pylist()
         if len(self.index) > self.most:
             self._clear()
         new = [w for w in words if w not in self.index]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.index[w] = len(self.lens)
-                self.flat.append(np.array(e.ids, dtype=np.uint32))
-                self.lens.append(len(e.ids))
-        at = np.fromiter((self.index[w] for w in words), dtype=np.int64, count=len(words))
-        own = [self.flat[i] for i in at]
-        lens = np.array([len(x) for x in own], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(lens)])[:-1] if len(lens) else np.zeros(0, dtype=np.int64)
-        joined = np.concatenate(own) if own else np.zeros(0, dtype=np.uint32)
-        codes = np.asarray(coded.indices) if len(flat) else np.zeros(0, dtype=np.int64)
-        n = lens[codes]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        words_at = ends[:-1]
-        total = int(ends[-1])
-        source = np.repeat(starts[codes] - words_at, n) + np.arange(total)
-        bounds = ends[offsets] + np.arange(len(offsets))
-        ids = np.full(total + len(offsets) - 1, END, dtype=np.uint32)
-        place = np.ones(len(ids), dtype=bool)
-        place[bounds[1:] - 1] = False
-        ids[place] = joined[source]
-        return ids, bounds
+        for at in range(0, len(new), 4096):
+            self._add(new[at : at + 4096])
+        entry = np.fromiter(map(self.index.__getitem__, words), dtype=np.int32, count=len(words))
+        codes = entry[np.asarray(coded.indices)] if len(flat) else entry
+        codes = np.insert(codes, offsets[1:], 0)  # the end id behind each text's words
+        n = self.lens[codes]
+        ends = np.cumsum(n, dtype=np.int64)
+        source = np.repeat((self.starts[codes] - ends + n).astype(np.int32), n)
+        source += np.arange(len(source), dtype=np.int32)
+        return self.flat[source], np.concatenate([[0], ends[offsets[1:] + np.arange(len(offsets) - 1)]])
+
+
+_kept: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """One for each worker process, kept from task to task."""
+    if path not in _kept:
+        _kept[path] = WordIds(path)
+    return _kept[path]
 
 
 def plan(sizes: list[int], longest: int = 4096, tiers: tuple[int, ...] = (512, 1024, 2048, 4096)) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -132,7 +148,7 @@ def step_groups(windows: list[int], tokens: int = 1 << 18) -> list[int]:
 
 def _packed(path: str, longest: int, buffer_tokens: int):
     def run(batches):
-        words, made, stepped = WordIds(path), 0, 0
+        words, made, stepped = word_ids(path), 0, 0
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         doc_ids: list = []
         held: list[np.ndarray] = []
