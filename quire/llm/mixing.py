@@ -12,7 +12,9 @@ targets are 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+
+from .common import stash
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -63,13 +65,13 @@ def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, orde
     return q.groupBy(*parties.columns, "sure").agg(more.alias("more")).withColumn("won", F.col("sure") + F.col("more")).drop("sure", "more")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = 16, shard_rows: int = 1024, seed: int = 7) -> DataFrame:
+def mix_sources(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = 16, shard_rows: int = 1024, seed: int = 7) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every document.
 
     shard_rows: documents of a shard, about; shards grow with the square root of a source beyond its square.
     """
-    sized = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("h"))
-    sized = sized.select("*", F.xxhash64(F.lit(seed + 1), "doc_id").alias("deal"))
+    sized = stash(spark, docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")  # texts are read once
+    sized = sized.select("*", F.xxhash64(F.lit(seed), "doc_id").alias("h"), F.xxhash64(F.lit(seed + 1), "doc_id").alias("deal"))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     goal = targets(sources, weights, share, most)
     shards = F.ceil(F.col("rows") / F.greatest(F.lit(float(shard_rows)), F.sqrt("rows"))).cast("long")

@@ -3,7 +3,8 @@
 Documents are sets of hashed five-word shingles. Equal sets form one node. A node's shingles are hashed into groups and
 the group counts form its point: the sum over groups of the smaller count bounds the overlap of two sets from above,
 and the counts of a tree node's bounding box bound the overlap with all points in it. Candidates are nodes that share a
-shingle among the smallest ``n - ceil(t * n) + 1`` of both (two sets that link always do). Each such bucket is joined
+shingle among the first ``n - ceil(t * n) + 1`` of both (two sets that link always do); shingles of common
+passages, counted over all texts, come last in the order of shingles. Each such bucket is joined
 with itself by the R-tree, and the surviving pairs are verified on the whole sets.
 
 Large groups of near copies are joined in rounds, so that no group is expanded into all pairs. In round one each
@@ -29,10 +30,13 @@ from .common import MIX_A, U64, mix, pieces, shingle_sets, stash
 CELL = 2048
 LEAF = 32
 BLOOM_BITS = 1 << 23
+#: Shingles are counted in so many cells, to take those of common passages last.
+CELL_BITS, SLICES = 20, 64
+CELLS = 1 << CELL_BITS
 #: Links that a node proposes in round one.
 PROPOSALS = 3
 #: Further rounds of such proposals, between components and in another order each.
-ROUNDS = 3
+ROUNDS = 1
 
 
 def _fingerprint(s: np.ndarray) -> int:
@@ -54,12 +58,6 @@ def point(s: np.ndarray) -> bytes:
     return counts.astype("u1").tobytes() if counts.max() < 256 else counts.astype("<u2").tobytes() + b"2"
 
 
-def coarse(s: np.ndarray) -> bytes:
-    """The point over a quarter as many groups, for the tree."""
-    g = max(32, _n_groups(len(s)) // 4)
-    return np.minimum(np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g), 255).astype("u1").tobytes()
-
-
 def counts_of(p: bytes) -> np.ndarray:
     return np.frombuffer(p, "u1").astype(np.int32) if len(p) % 2 == 0 else np.frombuffer(p[:-1], "<u2").astype(np.int32)
 
@@ -78,23 +76,51 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _nodes(batches):
+    """A row for each document, and at the end of a task rows of its sketch (slice, counts): how many texts hold a
+    shingle of each cell."""
+    names = ["doc_id", "node", "n", "point"]
+    sketch = np.zeros(CELLS, dtype="<u4")
     for batch in batches:
         for part in pieces(batch, "text"):
             sets = shingle_sets(part.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([_fingerprint(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([coarse(s) if len(s) else None for s in sets], pa.binary()),
-                ],
-                names=["doc_id", "node", "n", "point", "coarse"],
-            )
+            nodes = [_fingerprint(s) for s in sets]
+            once = {x: s for x, s in zip(nodes, sets, strict=True)}
+            sketch += np.bincount((np.concatenate(list(once.values())) >> U64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype("<u4")
+            points = [point(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(points, pa.binary())], names=names)
+    slices = sketch.reshape(SLICES, -1)
+    used = np.flatnonzero(slices.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary())], names=names)
+
+
+def _common(members: DataFrame) -> np.ndarray:
+    """Which cells of shingles are common: counted over all texts, far above the mean. The slices of the tasks' sketches
+    are added by slice; the driver gets CELLS / 8 bits."""
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(counts, "<u4").astype(np.int64)
+                sums[i] = sums[i] + x if i in sums else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["at", "counts"])
+
+    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("point").alias("counts"))
+    total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
+    for at, counts in slices.repartition(SLICES, "at").mapInArrow(add, "at long, counts binary").toLocalIterator():  # SLICES rows
+        total[at] = np.frombuffer(counts, dtype=np.int64)
+    mean = total.sum() / CELLS
+    return (total > mean + 6 * mean**0.5 + 24).ravel()
+
+
+def _rare_first(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The order that prefixes are taken in, the same for all sets: shingles of common cells last."""
+    last = common[(s >> U64(64 - CELL_BITS)).astype(np.int64)]
+    return np.concatenate([s[~last], s[last]])
 
 
-def _prefixes(percent: int):
-    """Of each set, once in a task: its node and the smallest shingles."""
+def _prefixes(percent: int, common):
+    """Of each set, once in a task: its node and the first shingles."""
 
     def run(batches):
         seen: set[int] = set()
@@ -112,7 +138,7 @@ def _prefixes(percent: int):
                         continue
                     seen.add(node)
                     p = len(s) - (percent * len(s) + 99) // 100 + 1
-                    sigs.append(s[:p])
+                    sigs.append(_rare_first(s, common.value)[:p])
                     nodes.append(np.full(p, node, dtype=np.int64))
                 if sigs:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
@@ -246,7 +272,7 @@ def _small(sig, cell, node, comp, n, points, percent: int):
 
 
 def _tree_join(percent: int):
-    """Rows (sig, cell, node, comp, n, coarse) sorted by (sig, cell, node): pairs of each cell. Cells of the same nodes are
+    """Rows (sig, cell, node, comp, n, point) sorted by (sig, cell, node): pairs of each cell. Cells of the same nodes are
     joined once. What is kept from batch to batch is the last cell, of bounded size."""
 
     def joined(rows: pa.Table, seen: set) -> pa.RecordBatch:
@@ -362,13 +388,15 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     """doc_id, n_shingles, component_id of every document; documents link when 100 * overlap >= percent * union."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     texts = docs.select("doc_id", "text")
-    members = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary, coarse binary"), "members")
+    every = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
+    members = every.filter("n >= 0")
+    common = spark.sparkContext.broadcast(_common(every))  # CELLS booleans
     nodes = stash(spark, members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("carrier"), F.first("n").alias("n")), "nodes")
-    pairs_of = texts.mapInArrow(_prefixes(percent), "sig long, node long")
+    pairs_of = texts.mapInArrow(_prefixes(percent, common), "sig long, node long")
     rows = pairs_of.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = stash(spark, rows, "buckets")
     known = members.filter("n > 0").join(rows.select("node").distinct(), "node", "left_semi")
-    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"), F.first("coarse").alias("coarse")), "points")
+    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     best = _with_points(near, points).mapInArrow(_bounded(percent), "a long, b long, score double")
@@ -380,8 +408,8 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
         apart = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("who"), F.count("*").alias("m")).filter("lo <> hi")
         apart = apart.groupBy("who", "m").agg(F.min("sig").alias("sig"))
         order = W.partitionBy("sig").orderBy(F.xxhash64(F.lit(turn), "node"))
-        back = F.explode(F.array(*[F.struct(F.lag("node", k).over(order).alias("other"), F.lag("comp", k).over(order).alias("its")) for k in (1, 2, 3)]))
-        next_ = at.join(apart.select("sig"), "sig").select("node", "comp", back.alias("x")).select("node", "comp", "x.*")
+        near = [F.struct(F.lag("node", k).over(order).alias("other"), F.lag("comp", k).over(order).alias("its")).alias(f"x{k}") for k in (1, 2, 3)]
+        next_ = at.join(apart.select("sig"), "sig").select("node", "comp", *near).select("node", "comp", F.explode(F.array("x1", "x2", "x3")).alias("x")).select("node", "comp", "x.*")
         next_ = next_.filter("its is not null and its <> comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         best = _with_points(next_, points).mapInArrow(_bounded(percent), "a long, b long, score double")
         best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
@@ -398,9 +426,8 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     at = at.join(open_.select("sig", "m"), "sig").withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
     at = at.select("sig", "node", "comp", "t", "own", other.alias("o")).select("sig", "node", "comp", (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
-    at = at.join(points.select("node", "n", "coarse"), "node").select("sig", "cell", "node", "comp", "n", "coarse")
+    at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point")
     pairs = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent), "a long, b long").distinct()
-    pairs = _with_points(pairs, points).mapInArrow(_bounded(percent), "a long, b long, score double").select("a", "b")
     late = _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent)
     final = components(spark, links.union(late)).withColumnRenamed("comp", "root")
 

@@ -40,7 +40,7 @@ def op3_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix_sources(spark, table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
