@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole, or its first words; n_chars follows the text."""
-    taken = mix_sources(docs).select(F.col("doc_id").alias("id"), "taken", F.col("size").alias("words"))
+    taken = mix_sources(spark, docs).select(F.col("doc_id").alias("id"), "taken", F.col("size").alias("words"))
     d = docs.join(taken, docs.doc_id.eqNullSafe(taken.id))
     laps = F.ceil(F.col("taken") / F.greatest("words", F.lit(1))).cast("int")
     d = d.withColumn("lap", F.explode(F.when(F.col("words") == 0, F.array(F.lit(1))).otherwise(F.when(laps > 0, F.sequence(F.lit(1), laps)))))
