@@ -1,4 +1,421 @@
 """Registry of queries over the driver's tables, each with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import scalars as S
+from ..operators import coverage, dedup, facets, filters, lookups
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+class Tables:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+
+
+@query("select o_orderkey, o_custkey, o_orderstatus from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) k from orders) where k = 1")
+def o01_keep_latest(spark, d):
+    return dedup.keep_latest(Tables(spark, d).orders, ["o_custkey"], "o_orderdate", [F.desc("o_orderkey")]).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+_LINE = "select l_orderkey, l_linenumber, l_partkey, l_suppkey from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {}) k from lineitem) where k = 1"
+
+
+def _compact(spark, d, *by):
+    return dedup.compact(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"], [*by]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(_LINE.format("l_extendedprice, l_partkey, l_suppkey"))
+def o02_compact_min(spark, d):
+    return _compact(spark, d, F.col("l_extendedprice"), F.col("l_partkey"), F.col("l_suppkey"))
+
+
+@query(_LINE.format("l_extendedprice desc, l_partkey, l_suppkey"))
+def o02_compact_max(spark, d):
+    return _compact(spark, d, F.desc("l_extendedprice"), F.col("l_partkey"), F.col("l_suppkey"))
+
+
+@query("select doc_id, lang from (select *, row_number() over (partition by text order by doc_id) k from documents) where k = 1")
+def o02_compact_first(spark, d):
+    return dedup.compact(Tables(spark, d).documents, ["text"], [F.col("doc_id")]).select("doc_id", "lang")
+
+
+@query("select doc_id, lang from (select *, row_number() over (partition by text order by doc_id desc) k from documents) where k = 1")
+def o02_compact_last(spark, d):
+    return dedup.compact(Tables(spark, d).documents, ["text"], [F.desc("doc_id")]).select("doc_id", "lang")
+
+
+@query("select o_orderkey, o_custkey from (select *, row_number() over (partition by o_custkey order by date_trunc('day', o_orderdate) desc, o_orderkey) k from orders) where k = 1")
+def o03_latest_by_day(spark, d):
+    o = Tables(spark, d).orders.withColumn("day", F.to_date("o_orderdate"))
+    return dedup.keep_latest(o, ["o_custkey"], "day", [F.col("o_orderkey")]).select("o_orderkey", "o_custkey")
+
+
+@query("select event_type as value, count(*) as n from events group by 1 order by n desc, value limit 3")
+def o04_topk_facet(spark, d):
+    return facets.top_facet(facets.facet(Tables(spark, d).events, "event_type"), 3)
+
+
+@query("select event_id, user_id from events order by ts desc, event_id limit 20")
+def o05_recent(spark, d):
+    return Tables(spark, d).events.orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "user_id")
+
+
+@query("select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' order by o_totalprice desc, o_orderkey limit 25 offset 10")
+def o06_select_page(spark, d):
+    return Tables(spark, d).orders.filter("o_orderstatus = 'F'").orderBy(F.desc("o_totalprice"), "o_orderkey").offset(10).limit(25).select("o_orderkey", "o_totalprice")
+
+
+@query("select user_id, string_agg(distinct event_type, ',' order by event_type) as types from events group by user_id")
+def o08_sorted_distinct(spark, d):
+    return Tables(spark, d).events.groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("types"))
+
+
+@query("select l_orderkey, l_linenumber, l_partkey from lineitem where l_returnflag in ('A', 'R')")
+def p05_source_in(spark, d):
+    return Tables(spark, d).lineitem.filter(filters.compile_tree({"in": {"field": "l_returnflag", "list": ["A", "R"]}})).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+_TYPES = "select user_id from (select user_id, list(event_type) t from events group by user_id) where list_has_any(t, ['click', 'purchase'])"
+
+
+@query(_TYPES)
+def p06_array_overlap(spark, d):
+    per = Tables(spark, d).events.groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
+    return per.filter(filters.compile_tree({"overlaps": {"field": "types", "list": ["click", "purchase"]}})).select("user_id")
+
+
+@query("select o_orderkey from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
+def p09_key_semi(spark, d):
+    t = Tables(spark, d)
+    keys = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return t.orders.join(keys, "o_custkey", "left_semi").select("o_orderkey")
+
+
+@query("select p_partkey from part where p_partkey not in (select l_partkey from lineitem where l_quantity > 45)")
+def p18_exclude_anti(spark, d):
+    t = Tables(spark, d)
+    return dedup.exclude(t.part, t.lineitem.filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")), "p_partkey").select("p_partkey")
+
+
+CONFIG = {
+    "L1": {"and": [{"in": {"field": "l_returnflag", "list": ["R"]}}, {"between": {"field": "p_size", "least": 5, "most": 20}}]},
+    "L2": {"or": [{"in": {"field": "p_brand", "list": ["Brand#11", "Brand#22"]}}, {"not": {"in": {"field": "l_linestatus", "list": ["O"]}}}]},
+    "META": {"not": {"or": [{"in": {"field": "l_returnflag", "list": ["N"]}}, {"between": {"field": "p_size", "least": 1, "most": 10}}]}},
+}
+_L1, _L2, _L3 = "(l_returnflag = 'R' and p_size between 5 and 20)", "(p_brand in ('Brand#11', 'Brand#22') or not (l_linestatus = 'O'))", "(not (l_returnflag = 'N' or p_size between 1 and 10))"
+
+
+def _items(spark, d):
+    t = Tables(spark, d)
+    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+
+
+@query(f"select l_orderkey, l_linenumber, l_partkey from lineitem join part on l_partkey = p_partkey where {_L1}")
+def p13_tree_and(spark, d):
+    return _items(spark, d).filter(filters.compile_tree(CONFIG["L1"])).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(f"select l_orderkey, l_linenumber, l_partkey from lineitem join part on l_partkey = p_partkey where {_L2}")
+def p14_tree_or(spark, d):
+    return _items(spark, d).filter(filters.compile_tree(CONFIG["L2"])).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(f"select l_orderkey, l_linenumber, l_partkey from lineitem join part on l_partkey = p_partkey where {_L3}")
+def p15_tree_not(spark, d):
+    return _items(spark, d).filter(filters.compile_tree(CONFIG["META"])).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(
+    "select l_orderkey, l_linenumber, l_partkey, label from lineitem join part on l_partkey = p_partkey, "
+    f"(values ('L1'), ('L2'), ('X'), ('Y')) v(label) where case label when 'L1' then {_L1} when 'L2' then {_L2} else {_L3} end"
+)
+def a12_labels(spark, d):
+    tagged = filters.tag(_items(spark, d), filters.expand(CONFIG, {"META": ["X", "Y"]}), drop_unlabelled=True)
+    return tagged.select("l_orderkey", "l_linenumber", "l_partkey", F.explode("labels").alias("label"))
+
+
+def _records(spark, d):
+    li = Tables(spark, d).lineitem
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li.select(key.alias("record_id"), F.array(F.col("l_partkey").cast("string")).alias("serials"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_linenumber").alias("volume"))
+
+
+def _entries(spark, d, embargo: str = ""):
+    p = Tables(spark, d).part
+    first, last = 1992 + F.col("p_partkey") % 4, 1995 + F.col("p_partkey") % 3
+    return p.select(
+        F.concat(F.lit("H"), F.col("p_partkey") % 5).alias("holdings"), F.col("p_partkey").cast("string").alias("serial"), first.cast("string").alias("first_date"), last.cast("string").alias("last_date"),
+        F.lit(2).alias("first_volume"), F.lit(5).alias("last_volume"), F.lit(embargo).alias("embargo"),
+    )
+
+
+_COVER = """select distinct concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as record_id, 'H' || (p_partkey % 5) as holdings
+from lineitem join part on l_partkey = p_partkey
+where date_trunc('day', l_shipdate) between make_date(1992 + p_partkey % 4, 1, 1) and make_date(1995 + p_partkey % 3, 12, 31)
+and (year(l_shipdate) <> 1992 + p_partkey % 4 or l_linenumber >= 2) and (year(l_shipdate) <> 1995 + p_partkey % 3 or l_linenumber <= 5)"""
+
+
+@query(_COVER)
+def j01_coverage(spark, d):
+    return coverage.covered(_records(spark, d), _entries(spark, d), F.lit("2001-01-01").cast("timestamp"))
+
+
+@query(_COVER + " and date_trunc('day', l_shipdate) <= timestamp '1997-01-01' - interval 17520 hour")
+def j01_embargo(spark, d):
+    return coverage.covered(_records(spark, d), _entries(spark, d, "P2Y"), F.lit("1997-01-01").cast("timestamp"))
+
+
+@query("select p.p_partkey, p.p_name, 'H' || (p.p_partkey % 5) as holdings from part p where exists (select 1 from part q where q.p_name = p.p_name and q.p_size > 25)")
+def j02_title_join(spark, d):
+    p = Tables(spark, d).part
+    titles = p.filter("p_size > 25").select("p_name").distinct()
+    return p.join(titles, "p_name", "left_semi").select("p_partkey", "p_name", F.concat(F.lit("H"), F.col("p_partkey") % 5).alias("holdings"))
+
+
+@query("select n_name, r_name from nation join region on n_regionkey = r_regionkey, (values ('FR; DE ;UNITED STATES'), ('JAPAN;;CHINA')) v(s) where list_contains(list_transform(string_split(s, ';'), lambda x: trim(x)), n_name)")
+def j07_list_member_join(spark, d):
+    t = Tables(spark, d)
+    named = lookups.members(spark.createDataFrame([("FR; DE ;UNITED STATES",), ("JAPAN;;CHINA",)], "s string"), "s", ";", "n_name")
+    return t.nation.join(named, "n_name").join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+
+
+@query("select d.doc_id, case when l.doc_id is not null then l.quality::varchar else lang end as label from documents d left join (select doc_id, max(quality) quality from labels group by doc_id) l on d.doc_id = l.doc_id")
+def j09_update_labels(spark, d):
+    t = Tables(spark, d)
+    new = t.labels.select("doc_id", F.col("quality").cast("string").alias("new"), F.col("quality").alias("pos"))
+    return lookups.update_labels(t.documents.select("doc_id", F.col("lang").alias("label")), new, "doc_id", "label").select("doc_id", "label")
+
+
+@query("select d.doc_id, coalesce(l.free, false) as free from documents d left join (select doc_id, max(toxic) = 0 as free from labels group by doc_id) l on d.doc_id = l.doc_id")
+def j10_lookup_flag(spark, d):
+    t = Tables(spark, d)
+    known = t.labels.groupBy("doc_id").agg((F.max("toxic") == 0).alias("free"))
+    return lookups.flag(t.documents.select("doc_id"), known, "doc_id", "free").select("doc_id", "free")
+
+
+@query("select o_orderkey, case o_orderstatus when 'F' then 'final' when 'O' then 'open' else 'other' end as status from orders")
+def j11_lookup_default(spark, d):
+    return Tables(spark, d).orders.select("o_orderkey", S.lookup(F.col("o_orderstatus"), {"F": "final", "O": "open"}, "other").alias("status"))
+
+
+@query("select p_partkey, case when regexp_matches(p_type, 'STEEL$') then 'metal' when regexp_matches(p_type, '^(SMALL|TINY)') then 'small' else 'rest' end as kind from part")
+def j13_regex_lookup(spark, d):
+    return Tables(spark, d).part.select("p_partkey", S.first_match(F.col("p_type"), [("STEEL$", "metal"), ("^(SMALL|TINY)", "small")], "rest").alias("kind"))
+
+
+@query("select doc_id, source from (select *, row_number() over (partition by text order by coalesce(list_position(['src3', 'src1', 'src7'], source), 9999), doc_id) k from documents) where k = 1")
+def j15_priority_drop(spark, d):
+    return dedup.priority_drop(Tables(spark, d).documents, "text", "source", ["src3", "src1", "src7"], "doc_id").select("doc_id", "source")
+
+
+@query("select count(*) as n from orders where o_orderstatus = 'F' and year(o_orderdate) >= 1995")
+def a01_num_found(spark, d):
+    q = facets.build_query({"o_orderstatus": "F"}) & (F.year("o_orderdate") >= 1995)
+    return Tables(spark, d).orders.filter(q).agg(F.count("*").alias("n"))
+
+
+@query("select o_orderpriority as value, count(*) as n from orders where o_totalprice >= 100000 group by 1")
+def a02_facet(spark, d):
+    return facets.facet(Tables(spark, d).orders, "o_orderpriority", facets.build_query(at_least={"o_totalprice": 100000}))
+
+
+@query("select user_id as value, count(*) as n from events group by 1 having count(*) >= 10")
+def a03_having(spark, d):
+    return facets.facet(Tables(spark, d).events, "user_id", least=10)
+
+
+@query("select distinct lang, source from documents")
+def a04_distinct_lists(spark, d):
+    return Tables(spark, d).documents.select("lang", "source").distinct()
+
+
+@query("select unnest(types) as value, count(*) as n from (select user_id, list(distinct event_type) types from events group by user_id) group by 1")
+def a05_exploded_counts(spark, d):
+    return facets.facet(Tables(spark, d).events.groupBy("user_id").agg(F.collect_set("event_type").alias("types")), "types")
+
+
+@query("""select event_type, user_id, sum(n)::bigint as size, string_agg(day || ':' || n, ',' order by day) as dates from
+(select event_type, user_id, strftime(ts, '%Y-%m-%d') as day, count(*) as n from events group by 1, 2, 3) group by 1, 2""")
+def a06_nested_pivot(spark, d):
+    e = Tables(spark, d).events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    p = facets.nested_pivot(e, ["event_type", "user_id"], "day")
+    return p.select("event_type", "user_id", "size", F.array_join(F.transform("entries", lambda x: F.concat(x["k"], F.lit(":"), x["v"])), ",").alias("dates"))
+
+
+_TWO = """select coalesce(a.f, b.f) as l_returnflag, coalesce(a.s, b.s) as l_linestatus, coalesce(a.n, 0) as n_before, coalesce(b.n, 0) as n_after, coalesce(b.n, 0) - coalesce(a.n, 0) as diff,
+case when coalesce(a.n, 0) = 0 and coalesce(b.n, 0) = 0 then 0.0 when coalesce(a.n, 0) = 0 then 100.0 else round((coalesce(b.n, 0) - a.n)::double / a.n * 100, 4) end::double as pct
+from (select l_returnflag f, l_linestatus s, count(*) n from lineitem where l_shipdate < timestamp '1998-01-01' group by 1, 2) a
+full join (select l_returnflag f, l_linestatus s, count(*) n from lineitem where l_shipdate >= timestamp '1998-01-01' group by 1, 2) b on a.f = b.f and a.s = b.s"""
+
+
+@query(_TWO)
+def a08_compare_two(spark, d):
+    li = Tables(spark, d).lineitem
+    cut = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    return facets.compare(li.filter(cut), li.filter(~cut), ["l_returnflag", "l_linestatus"])
+
+
+@query("""with h as (select distinct p_partkey k from part), i as (select distinct l_partkey k from lineitem where l_quantity > 40)
+select (select count(*) from h) as held, (select count(*) from i) as indexed, (select count(*) from h join i using (k)) as "both", (select count(*) from h where k not in (select k from i)) as missing,
+round((select count(*) from h join i using (k))::double / (select count(*) from h), 4) as ratio""")
+def a10_coverage_ratio(spark, d):
+    t = Tables(spark, d)
+    return facets.coverage_ratio(t.part.select(F.col("p_partkey").alias("k")), t.lineitem.filter("l_quantity > 40").select(F.col("l_partkey").alias("k")), "k")
+
+
+@query("""select 'lang' as rule, count(*) = 0 as ok, count(*)::bigint as got from (select distinct lang from documents where lang not in ('en', 'de', 'fr', 'es'))
+union all select 'final', 100 * count(*) filter (o_orderstatus = 'F') >= 30 * count(*), count(*) filter (o_orderstatus = 'F') from orders where o_totalprice > 1000
+union all select 'open', count(*) >= 100, count(*) from orders where o_orderstatus = 'O'
+union all select 'same', count(*) filter (o_orderstatus = 'F') = count(*) filter (o_orderstatus = 'O'), count(*) filter (o_orderstatus = 'F') from orders""")
+def a16_review_rules(spark, d):
+    t = Tables(spark, d)
+    first = facets.review(t.documents, [("lang", "allowed-keys", "true", "lang", ["en", "de", "fr", "es"], None)])
+    rest = [("final", "min-ratio", "o_totalprice > 1000", "o_orderstatus", ["F"], 30), ("open", "min-count", "true", "o_orderstatus", ["O"], 100), ("same", "equal-size-non-zero", "true", "o_orderstatus", ["F", "O"], None)]
+    return first.union(facets.review(t.orders, rest))
+
+
+@query("select year(o_orderdate)::integer as year, " + ", ".join(f"count(*) filter (month(o_orderdate) = {m}) as m{m}" for m in range(1, 13)) + " from orders group by 1")
+def a17_month_pivot(spark, d):
+    o = Tables(spark, d).orders.select(F.year("o_orderdate").alias("year"), F.concat(F.lit("m"), F.month("o_orderdate")).alias("m"))
+    return o.groupBy("year").pivot("m", [f"m{m}" for m in range(1, 13)]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+@query("select p_brand, string_agg(distinct p_type, '|' order by p_type) as types from part group by 1")
+def a18_name_sets(spark, d):
+    return Tables(spark, d).part.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), "|").alias("types"))
+
+
+@query("select distinct l_suppkey as k from lineitem where l_quantity > 30 intersect select s_suppkey from supplier where s_acctbal > 0")
+def t01_intersect(spark, d):
+    t = Tables(spark, d)
+    return t.lineitem.filter("l_quantity > 30").select(F.col("l_suppkey").alias("k")).intersect(t.supplier.filter("s_acctbal > 0").select("s_suppkey"))
+
+
+@query("select p_partkey as k from part except select l_partkey from lineitem where l_discount > 0.09 and l_quantity > 45")
+def t02_difference(spark, d):
+    t = Tables(spark, d)
+    return t.part.select(F.col("p_partkey").alias("k")).subtract(t.lineitem.filter("l_discount > 0.09 and l_quantity > 45").select("l_partkey"))
+
+
+@query("select c_custkey as k, c_name as name from customer union all select s_suppkey, s_name from supplier")
+def t06_bag_union(spark, d):
+    t = Tables(spark, d)
+    return t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")).unionByName(t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")))
+
+
+@query("select c_custkey, 'ai-49-' || rtrim(translate(to_base64(encode(c_name)), '+/', '-_'), '=') as id from customer")
+def f01_ids(spark, d):
+    return Tables(spark, d).customer.select("c_custkey", S.record_id(F.lit("49"), F.col("c_name")).alias("id"))
+
+
+@query("select c_custkey, substr(lpad(c_custkey::varchar, 8, '0'), 1, 4) || '-' || substr(lpad(c_custkey::varchar, 8, '0'), 5, 4) as serial from customer")
+def f02_serials(spark, d):
+    return Tables(spark, d).customer.select("c_custkey", S.serial(F.concat(F.lit(" "), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))).alias("serial"))
+
+
+@query("select c_custkey, coalesce(nullif(regexp_extract(c_name, '[0-9]+', 0), '')::bigint, 0) as n from customer")
+def f04_first_int(spark, d):
+    return Tables(spark, d).customer.select("c_custkey", S.first_int(F.col("c_name")).alias("n"))
+
+
+@query("select o_orderkey, strftime(make_date(year(o_orderdate), month(o_orderdate), 1), '%Y-%m-%d') as day from orders")
+def f05_dates(spark, d):
+    return Tables(spark, d).orders.select("o_orderkey", F.date_format(S.parse_date(F.date_format("o_orderdate", "yyyy-MM")), "yyyy-MM-dd").alias("day"))
+
+
+@query("select p_partkey, case when length(p_name) < 12 then p_name else left(p_name, 12) || '...' end as short from part")
+def f17_truncate(spark, d):
+    return Tables(spark, d).part.select("p_partkey", S.truncate_dots(F.col("p_name"), 12).alias("short"))
+
+
+@query("select page_id, nullif(regexp_extract(url, '[a-z0-9.]+[.]example[.][a-z]+', 0), '') as host from pages")
+def f19_sniff(spark, d):
+    return Tables(spark, d).pages.select("page_id", S.sniff(F.col("url"), r"[a-z0-9.]+[.]example[.][a-z]+").alias("host"))
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, case when l_linenumber + 3 >= l_linenumber then 4 end::bigint as pages from lineitem")
+def f23_pages(spark, d):
+    r = F.concat_ws("-", "l_linenumber", F.col("l_linenumber") + 3)
+    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", S.page_count(r).alias("pages"))
+
+
+@query("select p_partkey, case when contains(p_name, ':') or contains(p_name, p_brand) then p_name else p_name || ' : ' || p_brand end as title from part")
+def f25_title(spark, d):
+    return Tables(spark, d).part.select("p_partkey", S.title_with_subtitle(F.col("p_name"), F.col("p_brand")).alias("title"))
+
+
+@query("select c_custkey, ltrim(regexp_extract(c_name, '[0-9]+', 0), '0') as n from customer")
+def f26_trim_zeros(spark, d):
+    return Tables(spark, d).customer.select("c_custkey", S.trim_zeros(F.regexp_extract("c_name", "[0-9]+", 0)).alias("n"))
+
+
+@query("select doc_id, md5(text) as hash from documents")
+def f36_md5(spark, d):
+    return Tables(spark, d).documents.select("doc_id", F.md5("text").alias("hash"))
+
+
+@query("select strftime(t, '%Y-%m-%d') as day, count(event_id) as n from (select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-01', interval 1 day)) t) left join events on date_trunc('day', ts) = t group by 1")
+def f34_intervals(spark, d):
+    days = spark.range(1).select(F.explode(F.expr("sequence(date'2024-01-01', date'2024-02-01')")).alias("t"))
+    per = Tables(spark, d).events.groupBy(F.to_date("ts").alias("t")).agg(F.count("*").alias("n"))
+    return days.join(per, "t", "left").select(F.date_format("t", "yyyy-MM-dd").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("select o_orderkey from orders where o_orderstatus = 'O' and o_totalprice >= 50000 and o_totalprice <= 150000")
+def p21_query_builder(spark, d):
+    return Tables(spark, d).orders.filter(facets.build_query({"o_orderstatus": "O"}, {"o_totalprice": 50000}, {"o_totalprice": 150000})).select("o_orderkey")
+
+
+@query("select count(*) filter (text is not null and text <> '') as has, count(*) filter (text is null or text = '') as missing from documents")
+def p22_missing(spark, d):
+    has = F.col("text").isNotNull() & (F.col("text") != "")
+    return Tables(spark, d).documents.agg(F.count_if(has).alias("has"), F.count_if(~F.coalesce(has, F.lit(False))).alias("missing"))
+
+
+@query("select doc_id || ',' || source || ',' || lang as line from documents")
+def p01_local_data(spark, d):
+    return Tables(spark, d).documents.select(F.concat_ws(",", "doc_id", "source", "lang").alias("line"))
+
+
+@query("select conv_id, turn, role, '' as text from conversations")
+def p03_redact(spark, d):
+    return Tables(spark, d).conversations.withColumn("text", F.lit("")).select("conv_id", "turn", "role", "text")
+
+
+@query("""select page_id, t as title, lang, case when t is null or t = '' then 'NO_TITLE' when length(t) > 55 then 'TOO_LONG_TITLE' end as skip_reason from
+(select page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') t, nullif(regexp_extract(html, '<html lang="([a-z]+)"', 1), '') lang from pages)""")
+def c_html_crosswalk(spark, d):
+    p = Tables(spark, d).pages.select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.nullif(F.regexp_extract("html", '<html lang="([a-z]+)"', 1), F.lit("")).alias("lang"))
+    return p.withColumn("skip_reason", F.when(F.coalesce("title", F.lit("")) == "", "NO_TITLE").when(F.length("title") > 55, "TOO_LONG_TITLE"))
+
+
+@query("select event_id, user_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from events) where k = 1")
+def r03_keep_latest_stream(spark, d):
+    import uuid
+
+    from ..streaming.latest import current, merge_latest
+
+    base = f"{spark.sparkContext.getConf().get('spark.checkpoint.dir') or '/tmp/quire-stream'}/latest-{uuid.uuid4().hex}"
+    schema = Tables(spark, d).events.schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
+    merge_latest(stream, f"{base}/state", ["user_id"], "ts", "event_id", f"{base}/checkpoint").awaitTermination()
+    return current(spark, f"{base}/state").select("event_id", "user_id")
