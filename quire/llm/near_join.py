@@ -19,6 +19,8 @@ null doc_id takes part; component_id is the smallest doc_id that is not null (el
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,6 +37,8 @@ CELL_BITS, SLICES = 20, 64
 CELLS = 1 << CELL_BITS
 #: Links that a node proposes in round one.
 PROPOSALS = 3
+#: So many signatures of a node before the one of a bucket tell whether an earlier bucket has a pair.
+EARLIER, NONE = 4, -(1 << 63)
 #: Further rounds of such proposals, between components and in another order each.
 ROUNDS = 1
 
@@ -54,12 +58,12 @@ def _n_groups(n: int) -> int:
 def point(s: np.ndarray) -> bytes:
     g = _n_groups(len(s))
     counts = np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g)
-    # a count beyond 255 (never seen: groups are as many as shingles) would be written over 2 bytes
-    return counts.astype("u1").tobytes() if counts.max() < 256 else counts.astype("<u2").tobytes() + b"2"
+    # counts are mostly 0 or 1: compressed, a point takes a few bits a group
+    return zlib.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes(), 1) + (b"1" if counts.max() < 256 else b"4")
 
 
 def counts_of(p: bytes) -> np.ndarray:
-    return np.frombuffer(p, "u1").astype(np.int32) if len(p) % 2 == 0 else np.frombuffer(p[:-1], "<u2").astype(np.int32)
+    return np.frombuffer(zlib.decompress(p[:-1]), "u1" if p[-1:] == b"1" else "<u4").astype(np.int32)
 
 
 def fold(v: np.ndarray, g: int) -> np.ndarray:
@@ -212,11 +216,20 @@ def _bounded(percent: int):
     return run
 
 
+def _met(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether two nodes share one of the signatures before this one: then an earlier bucket has the pair."""
+    out = np.zeros(np.broadcast_shapes(p.shape[:-1], q.shape[:-1]), dtype=bool)
+    for a in range(p.shape[-1]):
+        for b in range(q.shape[-1]):
+            out |= (p[..., a] == q[..., b]) & (p[..., a] != NONE)
+    return out
+
+
 class RTree:
     """Points of one bucket in leaves of LEAF; each leaf has the largest counts and the range of set sizes."""
 
-    def __init__(self, n: np.ndarray, comp: np.ndarray, points: list[np.ndarray]):
-        self.n, self.comp, self.points = n, comp, points
+    def __init__(self, n: np.ndarray, comp: np.ndarray, points: list[np.ndarray], before: np.ndarray):
+        self.n, self.comp, self.points, self.before = n, comp, points, before
         g = min(64, min(len(p) for p in points))
         self.low = np.stack([fold(p, g) for p in points])
         order = np.lexsort((n, comp, np.floor(np.log(np.maximum(n, 1)) / np.log(4 / 3))))
@@ -241,6 +254,7 @@ class RTree:
     def _leaves(self, x: np.ndarray, y: np.ndarray, same: bool, percent: int):
         need = least_overlap(self.n[x][:, None], self.n[y][None, :], percent)
         ok = (self.comp[x][:, None] != self.comp[y][None, :]) & (np.minimum(self.n[x][:, None], self.n[y][None, :]) >= need)
+        ok &= ~_met(self.before[x][:, None, :], self.before[y][None, :, :])
         if same:
             ok &= np.tri(len(x), len(y), -1, dtype=bool)
         if ok.any():
@@ -252,7 +266,7 @@ class RTree:
                 yield x[i], y[j]
 
 
-def _small(sig, cell, node, comp, n, points, percent: int):
+def _small(sig, cell, node, comp, n, before, points, percent: int):
     """Pairs of the buckets that one leaf holds: row i with the rows behind it in its bucket."""
     found: dict[tuple[int, int], tuple[int, int]] = {}
     for d in range(1, LEAF):
@@ -261,7 +275,7 @@ def _small(sig, cell, node, comp, n, points, percent: int):
             if d > 1 and not ((sig[d:] == sig[:-d]) & (cell[d:] == cell[:-d])).any():
                 break
             continue
-        i = i[np.minimum(n[i], n[i + d]) >= least_overlap(n[i], n[i + d], percent)]
+        i = i[(np.minimum(n[i], n[i + d]) >= least_overlap(n[i], n[i + d], percent)) & ~_met(before[i], before[i + d])]
         for x in i:
             found.setdefault((min(node[x], node[x + d]), max(node[x], node[x + d])), (x, x + d))
     for pair, (x, y) in found.items():
@@ -287,14 +301,15 @@ def _tree_join(percent: int):
         use = np.zeros(len(starts), dtype=bool)
         use[once] = True
         points = rows.column(5)
+        before = np.stack([rows.column(6 + k).to_numpy() for k in range(EARLIER)], axis=1)
         rest = np.flatnonzero(np.repeat(use & (sizes <= LEAF), sizes))
-        found = list(_small(*(x[rest] for x in (sig, cell, node, comp, n)), points.take(pa.array(rest)).to_pylist(), percent)) if len(rest) else []
+        found = list(_small(*(x[rest] for x in (sig, cell, node, comp, n, before)), points.take(pa.array(rest)).to_pylist(), percent)) if len(rest) else []
         for k in np.flatnonzero(use & (sizes > LEAF)):
             x = slice(starts[k], starts[k] + sizes[k])
             if (comp[x] == comp[starts[k]]).all():
                 continue
             own = [counts_of(p) for p in points.slice(starts[k], sizes[k]).to_pylist()]
-            found += [(min(i, j), max(i, j)) for i, j in ((node[starts[k] + i], node[starts[k] + j]) for i, j in RTree(n[x], comp[x], own).pairs(percent))]
+            found += [(min(i, j), max(i, j)) for i, j in ((node[starts[k] + i], node[starts[k] + j]) for i, j in RTree(n[x], comp[x], own, before[x]).pairs(percent))]
         fresh = list({p for p in found if p not in seen})
         if len(seen) > 200_000:
             seen.clear()
@@ -422,11 +437,13 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     at = _components_at(rows, comp)
     open_ = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
     open_ = open_.groupBy("who", "m").agg(F.min("sig").alias("sig"))  # buckets of the same nodes are joined once
+    own_order = W.partitionBy("node").orderBy("sig")
+    earlier = [f"e{k}" for k in range(1, EARLIER + 1)]
     tiles = F.ceil(F.col("m") / CELL).cast("int")
-    at = at.join(open_.select("sig", "m"), "sig").withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
+    at = at.join(open_.select("sig", "m"), "sig").select("*", *[F.coalesce(F.lag("sig", k).over(own_order), F.lit(NONE)).alias(f"e{k}") for k in range(1, EARLIER + 1)]).withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
-    at = at.select("sig", "node", "comp", "t", "own", other.alias("o")).select("sig", "node", "comp", (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
-    at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point")
+    at = at.select("sig", "node", "comp", "t", "own", *earlier, other.alias("o")).select("sig", "node", "comp", *earlier, (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
+    at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point", *earlier)
     pairs = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent), "a long, b long").distinct()
     late = _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent)
     final = components(spark, links.union(late)).withColumnRenamed("comp", "root")
