@@ -51,14 +51,14 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def _n_groups(n: int) -> int:
-    """Groups of a point: a power of two, as many as shingles at least, so that points of similar sets can be folded."""
-    return max(16, 1 << max(0, n - 1).bit_length())
+    """Groups of a point: a power of two, half as many as shingles at least, so that points of similar sets can be folded."""
+    return max(16, 1 << max(0, n // 2 - 1).bit_length())
 
 
 def point(s: np.ndarray) -> bytes:
     g = _n_groups(len(s))
     counts = np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g)
-    # counts are mostly 0 or 1: compressed, a point takes a few bits a group
+    # counts are small: compressed, a point takes a few bits a group
     return zlib.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes(), 1) + (b"1" if counts.max() < 256 else b"4")
 
 
