@@ -13,7 +13,7 @@ def update_labels(records: DataFrame, updates: DataFrame, key: str, column: str)
 
 def members(df: DataFrame, column: str, separator: str, to: str) -> DataFrame:
     """One row for each trimmed, not empty part of a separated list."""
-    parts = F.filter(F.transform(F.split(column, separator), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(column, separator), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn(to, F.explode(parts))
 
 
