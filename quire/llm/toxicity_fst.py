@@ -145,7 +145,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
     names = told["term"]
     picked = np.flatnonzero(tells(pos, neg, sizes.get(1, 0), sizes.get(0, 0))) if len(sizes) == 2 and len(pos) else []
     stems = {names[i][:-1] for i in picked if names[i].endswith("*")}
-    picked = [i for i in picked if not any(names[i].rstrip("*")[:n] in stems and names[i][:n] + "*" != names[i] for n in STEMS)]
+    picked = [i for i in picked if not any(len(names[i].rstrip("*")) > n and names[i][:n] in stems for n in STEMS)]
     lexicon = Lexicon({names[i]: float((pos[i] + 0.5) / (pos[i] + neg[i] + 1.0)) for i in picked})
 
     def states(batches):
