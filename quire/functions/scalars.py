@@ -109,3 +109,77 @@ def lookup(x: Column, known: dict[str, str], default: str) -> Column:
 def first_match(x: Column, patterns: list[tuple[str, str]], default: str) -> Column:
     """The value of the first pattern, in order, that x matches."""
     return F.coalesce(*[F.when(x.rlike(p), F.lit(v)) for p, v in patterns], F.lit(default))
+
+
+def _roman_value(s: Column) -> Column:
+    """Letters count with their values; a smaller letter before a larger one counts twice less."""
+    letters = {"M": 1000, "D": 500, "C": 100, "L": 50, "X": 10, "V": 5, "I": 1}
+    less = {"CM": 200, "CD": 200, "XC": 20, "XL": 20, "IX": 2, "IV": 2}
+    total = sum((F.length(s) - F.length(F.replace(s, F.lit(k), F.lit("")))) * v for k, v in letters.items())
+    return total - sum(F.when(s.contains(k), v).otherwise(0) for k, v in less.items())
+
+
+def roman(x: Column) -> Column:
+    """Roman numerals as decimal text; any other text as it is."""
+    s = F.upper(F.trim(x))
+    whole = s.rlike("^M*(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$") & (s != "")
+    return F.when(whole, _roman_value(s).cast("string")).otherwise(x)
+
+
+def remove_all(x: Column, parts: list[str]) -> Column:
+    """Without the parts, in one pass; at a place the part listed first counts."""
+    return F.regexp_replace(x, "|".join("\\Q" + p + "\\E" for p in parts), "")
+
+
+def split_trim(x: Column, separator: str) -> Column:
+    """Trimmed parts of a separated list, empty ones left out."""
+    parts = F.split(x, "\\Q" + separator + "\\E")
+    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
+
+
+def remove_each(xs: Column, drop: Column) -> Column:
+    """The elements that drop hasn't; repeats and order stay."""
+    return F.filter(xs, lambda v: ~F.array_contains(drop, v))
+
+
+def clean_slashes(x: Column) -> Column:
+    return F.replace(x, F.lit("\\/"), F.lit("/"))
+
+
+def without_tabs(x: Column) -> Column:
+    return F.translate(x, "\t", " ")
+
+
+def date_of_parts(parts: Column) -> Column:
+    """A date of one to three numbers (year, month, day); null for others and for days that don't exist."""
+    at = [F.coalesce(F.get(parts, F.lit(k)), F.lit(1)) for k in range(3)]
+    text = F.concat_ws("-", F.lpad(at[0].cast("string"), 4, "0"), *[F.lpad(a.cast("string"), 2, "0") for a in at[1:]])
+    return F.when(F.size(parts).between(1, 3), F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))))
+
+
+def imprint(place: Column, publisher: Column, year: Column) -> Column:
+    """`place : publisher, year`, without what is empty or null."""
+    head = F.concat_ws(" : ", F.nullif(place, F.lit("")), F.nullif(publisher, F.lit("")))
+    mark = F.when(F.coalesce(publisher, F.lit("")) != "", ", ").otherwise(" : ")
+    return F.when(year.isNull(), head).when(head == "", year.cast("string")).otherwise(F.concat(head, mark, year.cast("string")))
+
+
+def all_text(*columns: Column) -> Column:
+    """Words of all texts and lists, joined by one space."""
+    return F.trim(F.regexp_replace(F.concat_ws(" ", *columns), r"\s+", " "))
+
+
+def collection_name(publisher: Column, suffix: str, default: str) -> Column:
+    clean = F.trim(F.translate(publisher, "\n", " "))
+    return F.when(F.coalesce(publisher, F.lit("")) == "", default).otherwise(F.concat(clean, F.lit(f" ({suffix})")))
+
+
+def subfields(fields: Column, tag: str, code: str) -> Column:
+    """All values of `tag` and `code` in MARC data fields (array of structs _tag, subfield of structs _code, _VALUE)."""
+    own = F.filter(fields, lambda f: f["_tag"] == tag)
+    return F.flatten(F.transform(own, lambda f: F.transform(F.filter(f["subfield"], lambda s: s["_code"] == code), lambda s: s["_VALUE"])))
+
+
+def qualified(fields: Column, schema: str, element: str, qualifier: str | None = None) -> Column:
+    """All values of DIM fields (array of structs _mdschema, _element, _qualifier, _VALUE)."""
+    return F.transform(F.filter(fields, lambda f: (f["_mdschema"] == schema) & (f["_element"] == element) & f["_qualifier"].eqNullSafe(F.lit(qualifier))), lambda f: f["_VALUE"])

@@ -19,3 +19,22 @@ def members(df: DataFrame, column: str, separator: str, to: str) -> DataFrame:
 
 def flag(records: DataFrame, known: DataFrame, key: str, value: str, default: bool = False) -> DataFrame:
     return records.join(known, key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def first_match_join(left: DataFrame, right: DataFrame, key: str, value: str, pos: str) -> DataFrame:
+    """Each left row with the value of the first right row (least pos) of its key, else null. The right side is
+    aggregated before the join, so that a frequent key is one row."""
+    first = right.groupBy(key).agg(F.min_by(value, pos).alias(value))
+    return left.join(first, key, "left")
+
+
+def conditional_match(left: DataFrame, right: DataFrame, key: str, needed) -> DataFrame:
+    """`matched`: whether a row that needs a partner has one; rows that need none pass."""
+    found = right.select(key).distinct().withColumn("found", F.lit(True))
+    return left.join(found, key, "left").withColumn("matched", ~F.coalesce(needed, F.lit(False)) | F.col("found").isNotNull()).drop("found")
+
+
+def preference(x, order: list[str], unknown: int = 9999):
+    """The place of a value in a list, from 0."""
+    at = F.array_position(F.array(*[F.lit(v) for v in order]), x)
+    return F.when(at > 0, at - 1).otherwise(F.lit(unknown)).cast("bigint")
