@@ -37,6 +37,8 @@ CELL_BITS, SLICES = 20, 64
 CELLS = 1 << CELL_BITS
 #: Links that a node proposes in round one.
 PROPOSALS = 3
+#: Candidates of a node whose points are compared for that: those with the most buckets in common.
+TRIED = 4
 #: So many signatures of a node before the one of a bucket tell whether an earlier bucket has a pair.
 EARLIER, NONE = 4, -(1 << 63)
 #: Further rounds of such proposals, between components and in another order each.
@@ -413,9 +415,8 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     known = members.filter("n > 0").join(rows.select("node").distinct(), "node", "left_semi")
     points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
 
-    near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    best = _with_points(near, points).mapInArrow(_bounded(percent), "a long, b long, score double")
-    best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
+    near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    best = _proposed(near, points, percent)
     links = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
     comp = components(spark, links)
     for turn in range(ROUNDS):
@@ -425,9 +426,8 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
         order = W.partitionBy("sig").orderBy(F.xxhash64(F.lit(turn), "node"))
         near = [F.struct(F.lag("node", k).over(order).alias("other"), F.lag("comp", k).over(order).alias("its")).alias(f"x{k}") for k in (1, 2, 3)]
         next_ = at.join(apart.select("sig"), "sig").select("node", "comp", *near).select("node", "comp", F.explode(F.array("x1", "x2", "x3")).alias("x")).select("node", "comp", "x.*")
-        next_ = next_.filter("its is not null and its <> comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        best = _with_points(next_, points).mapInArrow(_bounded(percent), "a long, b long, score double")
-        best = best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
+        next_ = next_.filter("its is not null and its <> comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        best = _proposed(next_, points, percent)
         more = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
         if not more.limit(1).count():
             break
@@ -458,6 +458,19 @@ def _components_at(rows: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.select("sig", "node").join(comp, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
 
 
+def _proposed(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) to verify early, of candidates given once a bucket: per b, of the TRIED that fit in size and meet in most
+    buckets, the PROPOSALS of the highest bound. Points go with few pairs so; what is passed over here, the last round's
+    join finds."""
+    sizes = points.select("node", "n")
+    met = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))
+    met = met.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    met = met.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    tried = met.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("shared"), "a"))).filter(F.col("k") <= TRIED).select("a", "b")
+    best = _with_points(tried, points).mapInArrow(_bounded(percent), "a long, b long, score double")
+    return best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
+
+
 def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
     x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
