@@ -53,8 +53,9 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def _n_groups(n: int) -> int:
-    """Groups of a point: a power of two, half as many as shingles at least, so that points of similar sets can be folded."""
-    return max(16, 1 << max(0, n // 2 - 1).bit_length())
+    """Groups of a point: a power of two, half as many as shingles and 64 at least (the bound of short sets is weak in
+    fewer), so that points of similar sets can be folded."""
+    return max(64, 1 << max(0, n // 2 - 1).bit_length())
 
 
 def point(s: np.ndarray) -> bytes:
@@ -445,7 +446,7 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     at = at.select("sig", "node", "comp", "t", "own", *earlier, other.alias("o")).select("sig", "node", "comp", *earlier, (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
     at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point", *earlier)
     pairs = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent), "a long, b long").distinct()
-    late = _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent)
+    late = stash(spark, _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent), "found")
     final = components(spark, links.union(late)).withColumnRenamed("comp", "root")
 
     labelled = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
