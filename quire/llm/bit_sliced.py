@@ -8,19 +8,27 @@ from the most significant slice downward, and all rows that the bound cannot tel
 exactly; ties go to the smaller vec_id.
 
 Rows are dealt to blocks of bounded size, queries to chunks; each cell gives its k best, and the best of these are the
-answer. Vectors that are null, empty, or hold null, non-finite or huge (beyond 2^20) components take no part; a query
+answer. Attributes are indexed in two bands, up to 2^20 and up to what 64-bit sums hold; rows and queries beyond are scored
+in integers of any length where a bound on the error of floating point cannot tell them apart. A score of the answer that
+64 bits do not hold is an error, not another score.
+
+Vectors that are null, empty, or hold null or non-finite components take no part; a query
 meets vectors of its own length. Repeated vec_ids are rows each, but a query never meets its own vec_id; rows without
 vec_id take no part. An empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import FloatType
 
 BLOCK_ROWS, CHUNK_QUERIES = 16_384, 2048
 LEFT_OUT = 1 / 160  # of the score's range that left-out slices may add
+NARROW = 1 << 20  # attributes of the first band, at most
 
 
 class BitSlicedIndex:
@@ -146,11 +154,73 @@ class BitSlicedIndex:
         return [(int(scores[i]), int(rows[i])) for i in order]
 
 
+class ExactRows:
+    """Rows of attributes of any size, as whole floats: those that may be among the best are scored in Python's integers."""
+
+    def __init__(self, raw: np.ndarray, scale: int):
+        self.raw, self.scale = raw, scale
+        self.x = attributes(raw, scale)
+        self.size = np.abs(self.x)
+
+    def _whole(self, row: np.ndarray) -> list[int]:
+        return [int(v) * self.scale if abs(v) >= 2.0**53 else math.floor(v * self.scale) for v in row.tolist()]
+
+    def top(self, raw: np.ndarray, k: int, ids: np.ndarray, own: int) -> list[tuple[int, int]]:
+        live = np.flatnonzero(ids != own)
+        if len(live) > k:
+            q = attributes(raw, self.scale)
+            with np.errstate(over="ignore", invalid="ignore"):
+                about = self.x[live] @ q
+                off = (self.size[live] @ np.abs(q)) * (2 * len(q) + 4) * 2.0**-52
+                low = about - off
+                if np.isfinite(low).all():
+                    live = live[about + off >= np.partition(low, -k)[-k]]
+        whole = self._whole(raw)
+        scored = [(sum(a * b for a, b in zip(self._whole(self.raw[r]), whole, strict=True)), int(r)) for r in live]
+        return sorted(scored, key=lambda x: (-x[0], ids[x[1]]))[:k]
+
+
+def attributes(raw: np.ndarray, scale: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.floor(raw.astype(np.float64) * scale)
+
+
+def best_of(raw: np.ndarray, ids: np.ndarray, asked: np.ndarray, asking: np.ndarray, k: int, scale: int):
+    """(query id, row's id, score) of the k best rows for each query; all vectors are of one length."""
+    wide = math.isqrt((1 << 59) // raw.shape[1])  # sums of products up to this fit in 64 bits
+    ends = (min(NARROW, wide), wide)
+    x, q = attributes(raw, scale), attributes(asked, scale)
+    most, needs = np.abs(x).max(axis=1), np.abs(q).max(axis=1)
+    bands = [np.flatnonzero(most <= ends[0]), np.flatnonzero((most > ends[0]) & (most <= ends[1]))]
+    bands = [(BitSlicedIndex(x[at].astype(np.int64)), at) for at in bands if len(at)]
+    rest = np.flatnonzero(most > ends[1])
+    beyond = ExactRows(raw[rest], scale) if len(rest) else None
+    every = ExactRows(raw, scale) if (needs > ends[1]).any() else None
+    for i, own in enumerate(asking.tolist()):
+        if needs[i] > ends[1]:
+            found = every.top(asked[i], k, ids, own)
+        else:
+            found = [(s, int(at[r])) for index, at in bands for s, r in index.top(q[i].astype(np.int64), k, ids[at], own)]
+            if beyond is not None:
+                found += [(s, int(rest[r])) for s, r in beyond.top(asked[i], k, ids[rest], own)]
+        for s, r in sorted(found, key=lambda x: (-x[0], ids[x[1]]))[:k]:
+            yield own, int(ids[r]), s
+
+
+def sortable(score: int) -> tuple[int, int, bytes]:
+    """Three columns in the order of scores: a score beyond 64 bits has a size other than 0, and bytes in place of the long."""
+    if -(1 << 63) <= score < 1 << 63:
+        return 0, score, b""
+    n = score.bit_length()
+    return (n, 0, score.to_bytes(n // 8 + 1, "big")) if score > 0 else (-n, 0, (score + (1 << n)).to_bytes(n // 8 + 1, "big"))
+
+
 def top_k(spark: SparkSession, vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows for each row whose vec_id is divisible by `every`."""
-    clean = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * scale > 2**20))
-    rows = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~clean)
-    rows = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("x"))
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    rows = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~bad)
+    single = vectors.schema["embedding"].dataType.elementType == FloatType()
+    rows = rows.select("vec_id", F.col("embedding").cast("array<float>" if single else "array<double>").alias("x"))
     queries = rows.filter(F.col("vec_id") % every == 0)
     n, m = rows.count(), queries.count()
     cores = spark.sparkContext.defaultParallelism
@@ -169,18 +239,18 @@ def top_k(spark: SparkSession, vectors: DataFrame, every: int = 50, k: int = 5,
         lens = np.diff(np.asarray(got.column("x").combine_chunks().offsets))
         asks = got.column("asks").to_numpy().astype(bool)
         ids = got.column("vec_id").to_numpy()
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple] = []
         for size in np.unique(lens):
             own, ask = np.flatnonzero((lens == size) & ~asks), np.flatnonzero((lens == size) & asks)
             if not len(own) or not len(ask):
                 continue
-            values = lambda at: np.asarray(got.column("x").take(pa.array(at)).combine_chunks().flatten()).reshape(-1, size).astype(np.int64)
-            index, mine = BitSlicedIndex(values(own)), ids[own]
-            for q, query in zip(ids[ask], values(ask), strict=True):
-                out += [(int(q), int(mine[r]), s) for s, r in index.top(query, k, mine, q)]
-        cols = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.int64())})
-
-    best = both.groupBy("cell").applyInArrow(cell, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
+            values = lambda at: np.asarray(got.column("x").take(pa.array(at)).combine_chunks().flatten()).reshape(-1, size)
+            out += [(q, r, *sortable(s)) for q, r, s in best_of(values(own), ids[own], values(ask), ids[ask], k, scale)]
+        cols = list(zip(*out, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        return pa.table({name: pa.array(c, t) for name, c, t in zip(("query_id", "vec_id", "size", "score", "digits"), cols, kinds, strict=True)})
+
+    best = both.groupBy("cell").applyInArrow(cell, "query_id long, vec_id long, size int, score long, digits binary")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("size"), F.desc("score"), F.desc("digits"), "vec_id"))
+    score = F.when(F.col("size") != 0, F.raise_error(F.lit("a score of the answer is beyond 64 bits")).cast("long")).otherwise(F.col("score")).alias("score")
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score)

@@ -119,6 +119,29 @@ def test_top_k_nulls(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in bit_sliced.top_k(spark, df).orderBy("rank").collect()] == [(0, 1, 4), (0, 2, 4)]
 
 
+def test_top_k_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (300, 6)) * 10.0 ** rng.choice([0, 3, 5, 7], (300, 1))
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    whole = [[int(np.floor(float(c) * 256)) for c in v] for v in x]
+    want = []
+    for i in range(0, 300, 50):
+        s = [sum(a * b for a, b in zip(whole[i], w)) for w in whole]
+        best = sorted((j for j in range(300) if j != i), key=lambda j: (-s[j], j))[:5]
+        want += [(i, n + 1, j, s[j]) for n, j in enumerate(best)]
+    assert [tuple(r) for r in bit_sliced.top_k(spark, df).orderBy("query_id", "rank").collect()] == want
+    # beyond 64 bits the order is exact still, and a score that does not fit is no row with another score
+    raw = np.array([[1e30, 1.0], [1e30, 2.0], [-1e30, 0.0], [1.0, 1.0]])
+    got = list(bit_sliced.best_of(raw, np.arange(4), raw[:1], np.array([9]), 4, 256))
+    assert [r for _, r, _ in got] == [1, 0, 3, 2] and got[0][2] - got[1][2] == 256 * 256
+    keys = [bit_sliced.sortable(s) for s in (-(1 << 90), -(1 << 90) + 1, -(1 << 63), -1, 0, 1 << 62, 1 << 63, (1 << 63) + 1, 1 << 80)]
+    assert keys == sorted(keys)
+    far = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        bit_sliced.top_k(spark, far).collect()
+
+
 def test_license_and_merkle(spark, docs):
     got = {r.doc_id: r for r in license_scan.license_scan(spark, docs).collect()}
     assert (got[9].n_base, got[9].first_word, got[9].last_word, got[9].base_labels) == (2, 2, 6, "cc-by,reserved")
