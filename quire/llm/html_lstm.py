@@ -27,7 +27,9 @@ PATHS, WORDS, SIZES = 96, 48, 8
 INPUTS, HIDDEN = PATHS + WORDS + SIZES, 20
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("head iframe math noscript object script style svg template textarea title".split())
+SKIPPED = frozenset("annotation annotation-xml iframe noscript object script style svg template textarea title".split())
+#: Elements of these hold no markup: they end at their end tag only, whatever is before it.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in ("iframe", "noscript", "script", "style", "textarea", "title")}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-]+|(?<=[a-z])(?=[A-Z])|\d+")
@@ -61,7 +63,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         linked = 0
 
     at, in_link = 0, 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         start, end = m.span()
         if not skip and start > at:
             text.append(page[at:start])
@@ -71,12 +73,19 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         if not tag:
             continue
         ends = page[start + 1] == "/"
+        if not ends and tag in RAW and not m[2].endswith("/"):
+            if not skip:
+                close()
+            stop = RAW[tag].search(page, end)
+            at = stop.end() if stop else len(page)
+            continue
         if skip:
             if ends and tag == skip:
                 skip = ""
             continue
         if not ends and tag in SKIPPED:
-            close()
+            if not tag.startswith("annotation"):  # within a line of text
+                close()
             skip = "" if m[2].endswith("/") else tag
             continue
         if tag == "br":
@@ -85,6 +94,9 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         if tag == "a":
             in_link = 0 if ends else 1
             continue
+        if tag == "head":  # what a head holds is skipped by itself; text in it is text of the page
+            close()
+            continue
         if tag not in BLOCK:
             continue
         close()

@@ -170,3 +170,13 @@ def test_pages():
     net = html_lstm.BiLstm(dict(np.load(html_lstm.WEIGHTS)))
     page = "<body><nav><ul><li><a href=/x>Home</a></li></ul></nav><article><h1>T&amp;x</h1><p>Some  main\ntext, here.<p>More of the text.</article><footer>&copy; site</footer></body>"
     assert html_lstm.extract([page, None, ""], net) == ["T&x\n\nSome main text, here.\n\nMore of the text.", "", ""]
+
+
+def test_skipped_elements():
+    texts = lambda page: [b[0] for b in html_lstm.blocks(page)]
+    assert texts("<p>one</p><script>for(i=0;i<n;i++){}</script><p>two</p><script>x</script><p>three") == ["one", "two", "three"]
+    assert texts("<title>a <b</title><style>a<b{}</STYLE ><textarea></p></textarea><p>two</p><template><script>'</template>'+a<b</script>x</template>y") == ["two", "y"]
+    assert texts("<html><head><title>t</title><meta name=a><body>one<p>two") == ["one", "two"]
+    assert texts("<head><title>t</title><p>one") == ["one"] and texts("<head><link rel=x>\n<article>one</article>") == ["one"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>\\x</annotation></math> holds") == ["so x=1 holds"]
+    assert texts("<p>a<script>if(a<b)") == ["a"]
