@@ -1,8 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A lexicon of insults (whole words and word beginnings) is learned from a bounded sample of labelled documents: terms that
-tell toxic documents apart by the log-likelihood ratio (copies of a text count once). Clauses of a text are read by a composition of five small transducers: insult and threat write weighted marks, target, negation and
-reported speech change the state in which marks are read. A mark's weight in its state is learned from the same sample,
+tell toxic documents apart by the log-likelihood ratio of the documents that hold them outside of negation, reported speech
+and quotes (copies of a text count once). Clauses of a text are read by a composition of six small transducers: insult and
+threat write weighted marks, target, negation, reported speech and quotes change the state in which marks are read. A
+threat is a verb of harm after a will-word (or in a future tense) in a clause that has a target at any place. A mark's weight in its state is learned from the same sample,
 with a prior that discounts negated and reported marks. A clause counts its strongest mark, a document all its clauses.
 
 Labels are read of rows whose crc32(doc_id as text) mod 4 is not 2 only. Null and empty texts score 0; repeated rows are
@@ -28,13 +30,27 @@ FOLDS, FOLD = 4, 2
 NEGATIONS = frozenset("not no never nor without isn't aren't don't nicht kein keine keinen nie ohne pas jamais sans nunca jamás sin".split())
 REPORTS = frozenset("said says quoted quote reported reports claimed wrote writes alleged sagte schrieb zitierte behauptete dit écrit affirme dijo escribió afirmó".split())
 TARGETS = frozenset("you your yours u they them their du dich dir dein ihr euch tu te toi vous ton votre tú ti usted vosotros tus".split())
-THREATS = frozenset("kill hurt destroy stab shoot strangle murder burn töten umbringen vernichten tuer détruire frapper matar destruir golpear".split())
+#: Tenses that need no will-word, and all forms of verbs of harm.
+FUTURE = frozenset({v + e for v in ("tuer", "détruir", "frapper") for e in ("ai", "as", "a", "ons", "ez", "ont")} | {v + e for v in ("matar", "destruir", "golpear") for e in ("é", "ás", "á", "emos", "éis", "án")})
+#: Forms that hold their target.
+AIMED = frozenset(v + x for v in ("matar", "destruir", "golpear") for x in ("te", "os", "los", "las"))
+THREATS = FUTURE | frozenset(
+    {v + e for v in ("kill", "destroy", "murder", "burn") for e in ("", "s", "ed", "ing")}
+    | set("tuer frapper détruire matar destruir golpear".split())
+    | set("hurt hurts hurting stab stabs stabbed stabbing shoot shoots shot shooting strangle strangles strangled strangling burnt".split())
+    | set("töten töte tötest tötet tötete töteten getötet umbringen umbringe umbringst umbringt umgebracht umzubringen vernichten vernichte vernichtest vernichtet vernichtete vernichteten".split())
+    | set("tue tues tuons tuez tuent tué tués tuée tuées tuant détruis détruit détruisons détruisez détruisent détruite détruits détruisant frappe frappes frappons frappez frappent frappé frappés frappée frappées frappant".split())
+    | set("mato matas mata matamos matáis matan matado matando destruyo destruyes destruye destruimos destruís destruyen destruido destruyendo golpeo golpeas golpea golpeamos golpeáis golpean golpeado golpeando".split())
+    | AIMED
+)
 WILL = frozenset("will shall gonna going must werde werden wird vais va allons voy vamos".split())
-#: Prior weight of a mark by state, as (negated, reported, targeted), and what it counts against observed marks.
-PRIOR = {(n, r, t): (0.25 if n else 1.0) * (0.4 if r else 1.0) * (1.0 if t else 0.95) for n in (0, 1) for r in (0, 1) for t in (0, 1)}
+#: Prior weight of a mark by state, as (negated, reported, quoted, targeted), and what it counts against observed marks.
+PRIOR = {(n, r, q, t): (0.25 if n else 1.0) * (0.4 if r else 0.6 if q else 1.0) * (1.0 if t else 0.95) for n in (0, 1) for r in (0, 1) for q in (0, 1) for t in (0, 1)}
 PRIOR_STRENGTH = 4.0
 THREAT_WEIGHT = 0.9
-TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]|[\"“”«»]")
+TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]|[\"“”„«»]")
+#: What closes a quote, by what opened it (»so«, „so“ and «so» are all used).
+CLOSES = {'"': '"', "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«"}
 STEMS = (4, 5, 6)
 
 
@@ -63,38 +79,49 @@ class Lexicon:
         a.make_automaton()
         return a
 
-    def marks(self, text: str):
-        """(clause, weight, state, kind) of each mark of a lower-case text, by one pass of the composed machine."""
-        clause, negated, reported, quoted, targeted, willing = 0, 0, 0, False, 0, 0
+    @staticmethod
+    def read(text: str):
+        """(clause, word, willing, negated, reported, quoted, targeted) of each word of a lower-case text."""
+        clause, negated, reported, targeted, willing, opened = 0, 0, 0, 0, 0, ""
         for m in TOKEN.finditer(text):
             w = m[0]
-            if not (w[0].isalpha()):
-                if w in '"“”«»':
-                    quoted = not quoted if w == '"' else w in "“«"
+            if not w[0].isalpha():
+                if w in CLOSES:
+                    opened = w if not opened else "" if w in CLOSES[opened] else opened
                 elif w != ":":
                     clause += 1
-                    negated = targeted = willing = 0
-                    reported = 0
+                    negated = targeted = willing = reported = 0
                     if w == "\n":
-                        quoted = False
+                        opened = ""
                 continue
-            negated, willing = max(0, negated - 1), max(0, willing - 1)
+            negated = max(0, negated - 1)
             if w in NEGATIONS:
                 negated = 4
             elif w in REPORTS:
                 reported = 1
             elif w in WILL:
-                willing = 4
+                willing = 1
             elif w in TARGETS:
                 targeted = 1
-            if weight := self.insult(w):
-                yield clause, weight, (int(negated > 0), int(reported or (quoted and reported)), targeted), "insult"
-            elif w in THREATS and willing and (targeted or self._aims(text, m.end())):
-                yield clause, THREAT_WEIGHT, (int(negated > 0), reported, 1), "threat"
+            yield clause, w, willing, int(negated > 0), reported, int(bool(opened)), targeted
 
-    @staticmethod
-    def _aims(text: str, at: int) -> bool:
-        return any(x in TARGETS for x in re.findall(r"[^\W\d_]+", text[at : at + 24])[:2])
+    def marks(self, text: str):
+        """(clause, weight, state, kind) of each mark of a lower-case text, by one pass of the composed machine."""
+        at, waiting = 0, []  # threats of the clause that have no target yet
+        for clause, w, willing, negated, reported, quoted, targeted in self.read(text):
+            if clause != at:
+                at, waiting = clause, []
+            if targeted and waiting:
+                yield from waiting
+                waiting = []
+            if weight := self.insult(w):
+                yield clause, weight, (negated, reported, quoted, targeted), "insult"
+            elif w in THREATS and (willing or w in FUTURE):
+                threat = clause, THREAT_WEIGHT, (negated, reported, quoted, 1), "threat"
+                if targeted or w in AIMED:
+                    yield threat
+                else:
+                    waiting.append(threat)
 
     def score(self, text: str) -> float:
         best: dict[int, float] = {}
@@ -111,7 +138,7 @@ def tells(pos: np.ndarray, neg: np.ndarray, all_pos: int, all_neg: int, least: f
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (pos * np.log(pos / (n * share)) + np.where(neg > 0, neg * np.log(neg / (n * (1 - share))), 0.0))
     rate = (pos / all_pos) / (pos / all_pos + (neg + 0.5) / all_neg)
-    return (g >= least) & (rate >= precise) & (pos > n * share) & (pos >= np.maximum(5, 0.01 * all_pos)) & (24 * neg <= pos)
+    return (g >= least) & (rate >= precise) & (pos > n * share) & (24 * neg <= pos)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Lexicon:
@@ -125,11 +152,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
     chosen = chosen.mapInArrow(one_each, "doc_id long, text string, label int, low long").orderBy("doc_id").limit(4 * bound).dropDuplicates(["label", "low"])
     chosen = stash(spark, chosen, "sample")
 
+    def plain(text):
+        return {w for _, w, _, negated, reported, quoted, _ in Lexicon.read(text) if not (negated or reported or quoted)}
+
     def counts(batches):
         total: Counter = Counter()
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                total.update((t, y) for t in {t for w in set(re.findall(r"[^\W\d_]+", (text or "").lower())) if len(w) > 2 for t in terms_of(w)})
+                total.update((t, y) for t in {t for w in plain((text or "").lower()) if len(w) > 2 for t in terms_of(w)})
                 if len(total) > 300_000:
                     yield out(total)
                     total = Counter()
@@ -140,7 +170,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
 
     sizes = {r.label: r["count"] for r in chosen.groupBy("label").count().collect()}
     tally = chosen.select("text", "label").mapInArrow(counts, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    told = tally.filter("pos >= 5 and pos >= 8 * neg").orderBy(F.desc(F.expr("pos - 6 * neg")), "term").limit(LEXICON).toArrow().to_pydict()
+    told = tally.filter("pos >= 24 * neg and pos > 0").orderBy(F.desc(F.expr("pos - 6 * neg")), "term").limit(LEXICON).toArrow().to_pydict()
     pos, neg = np.array(told["pos"], dtype=float), np.array(told["neg"], dtype=float)
     names = told["term"]
     picked = np.flatnonzero(tells(pos, neg, sizes.get(1, 0), sizes.get(0, 0))) if len(sizes) == 2 and len(pos) else []
@@ -155,12 +185,12 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
                 found = {s for _, _, s, kind in lexicon.marks((text or "").lower()) if kind == "insult"}
                 if len(found) == 1:  # what a document with marks in one state only tells of that state
                     rows.append((*found.pop(), y))
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in cols], names=["n", "r", "t", "y"])
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in cols], names=["n", "r", "q", "t", "y"])
 
-    seen = chosen.select("text", "label").mapInArrow(states, "n int, r int, t int, y int").groupBy("n", "r", "t").agg(F.count("*").alias("k"), F.sum("y").alias("y"))
-    for r in seen.collect():  # eight rows at most
-        key = (r.n, r.r, r.t)
+    seen = chosen.select("text", "label").mapInArrow(states, "n int, r int, q int, t int, y int").groupBy("n", "r", "q", "t").agg(F.count("*").alias("k"), F.sum("y").alias("y"))
+    for r in seen.collect():  # sixteen rows at most
+        key = (r.n, r.r, r.q, r.t)
         lexicon.states[key] = float((r.y + PRIOR_STRENGTH * PRIOR[key]) / (r.k + PRIOR_STRENGTH))
     return lexicon
 

@@ -103,6 +103,29 @@ def test_grammar():
     assert g.score("i will kill you.") > 0.8 and g.score("they kill time.") == 0
 
 
+def test_threats_and_quotes():
+    g = toxicity_fst.Lexicon({"zog": 0.9})
+    for text in ("i will kill all of you", "we are going to be hurting you", "je vous tuerai", "voy a matarte", "werde ich jeden von euch töten"):
+        assert g.score(text) > 0.8, text
+    assert g.score("the frost will kill. you see") == 0 and g.score("we will not kill any of you") < 0.3
+    state = {t: [m[2] for m in g.marks(t)] for t in ("you zog", 'he said: "fine. you zog"', "„fine. you zog“ you zog", "»a zog« zog")}
+    assert [[s[2] for s in x] for x in state.values()] == [[0], [1], [1, 0], [1, 0]]
+
+
+def test_rare_and_discussed_terms(spark):
+    rng = np.random.default_rng(7)
+    fill = lambda: " ".join(f"{a}{b}" for a, b in zip(rng.choice(list("abcdefgh"), 12), rng.choice(["lor", "mip", "sut", "ren"], 12)))
+    rows = []
+    for i in range(3000):
+        own = "a grobnik" if i % 110 == 0 else "a wuzzle" if i % 3 == 0 else "a moronic one"
+        rows += [(3 * i, f"{fill()}. you are {own}. {fill()}", 1), (3 * i + 1, f"{fill()}. {'he is not a wuzzle' if i % 2 else fill()}.", 0), (3 * i + 2, f"{fill()}.", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity_fst.fit(spark, df.select("doc_id", "text"), df.select("doc_id", F.lit(0).alias("quality"), "toxic"), 3000)
+    # grobnik is in 0.9 % of the toxic texts, wuzzle is negated in half of the clean ones
+    assert lexicon.insult("grobnik") > 0.8 and lexicon.insult("wuzzle") > 0.8
+    assert lexicon.score("you are a wuzzle.") > 0.3 > lexicon.score("he is not a wuzzle.")
+
+
 def test_bit_sliced_brute_force():
     rng = np.random.default_rng(1)
     x = rng.integers(-200, 200, (500, 9))
