@@ -6,11 +6,13 @@ documents. Rows are never sampled or capped. Stages are written as Parquet and r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from quire.llm.common import stash, table
+from quire.llm.common import pieces, shingle_sets, stash, table
 from quire.llm.mixing import mix_sources
-from quire.llm.near_join import near_join
+from quire.llm.near_join import _fingerprint, groups
 from quire.llm.packing import pack
 from quire.llm.quality_knn import score_quality
 from quire.llm.queries import tokenizer_path
@@ -28,9 +30,28 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group; one row of it, if it is repeated."""
-    kept = near_join(spark, docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group: that of the smallest doc_id (null is last), then of the smallest set of shingles and text.
+    Rows without words are groups of their own; of those that are the same in doc_id and text one stays, all if it is null."""
+    bare = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""
+    alone = docs.filter(bare & F.col("doc_id").isNull())
+    repeated = docs.filter(bare & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
+    written = docs.filter(~bare)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")
+    kept = stash(spark, groups(spark, written).groupBy("root").agg(first).select("first.doc_id", "first.node"), "kept")
+    marked = written.mapInArrow(_with_node, StructType([*written.schema.fields, StructField("node", LongType())])).alias("m")
+    k = kept.alias("k")
+    own = marked.join(k, F.col("m.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("m.node") == F.col("k.node")), "left_semi")
+    rank = F.row_number().over(W.partitionBy("doc_id", "node").orderBy(F.xxhash64("text"), "text"))
+    own = own.withColumn("at", rank).filter("at = 1")
+    return own.select(*docs.columns).unionByName(repeated).unionByName(alone)
+
+
+def _with_node(batches):
+    """The rows with the value of their set of shingles."""
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            node = pa.array([_fingerprint(s) for s in shingle_sets(part.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns, node], names=[*part.schema.names, "node"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

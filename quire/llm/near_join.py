@@ -404,6 +404,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; documents link when 100 * overlap >= percent * union."""
+    return groups(spark, docs, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame:
+    """doc_id, node, n_shingles, root, component_id of every document: node stands for its set, root for its component
+    (rows without shingles are components each, whatever their root)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     texts = docs.select("doc_id", "text")
     every = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
@@ -452,7 +458,7 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
     labelled = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labelled.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     full = labelled.join(smallest, "root", "left")
-    return full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return full.select("doc_id", "node", F.col("n").alias("n_shingles"), "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def _components_at(rows: DataFrame, comp: DataFrame) -> DataFrame:

@@ -203,3 +203,15 @@ def test_skipped_elements():
     assert texts("<head><title>t</title><p>one") == ["one"] and texts("<head><link rel=x>\n<article>one</article>") == ["one"]
     assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>\\x</annotation></math> holds") == ["so x=1 holds"]
     assert texts("<p>a<script>if(a<b)") == ["a"]
+
+
+def test_near_duplicates_keep_unique_texts(spark):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(30))
+    rows = [(None, text(1)), (None, text(1)), (None, text(2)), (5, text(3)), (5, text(4)), (3, text(3)), (None, text(3)), (7, text(5)), (7, text(5)), (None, ""), (None, None), (8, ""), (8, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    want = [(None, text(1)), (None, text(2)), (5, text(4)), (3, text(3)), (7, text(5)), (None, ""), (None, None), (8, "")]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(str, want))
