@@ -7,8 +7,10 @@ that of the deepest call it depends on, found round by round over the edges that
 are marked. Arguments are checked against schemas: required keys are there, known keys have the stated type. Every message
 is serialised as canonical JSON: keys in order, no space, arguments normalised.
 
-Null text is null content. A message that is no JSON object is plain content. Repeated identifiers: the first call by turn
-counts, results of an identifier are all linked to it. A null conv_id is a conversation of its own. An empty table gives
+Null text is null content. A message that is no JSON object is plain content. Every call counts, also if its identifier is
+repeated: a result belongs to the nearest earlier call of its identifier (to the first, if none is earlier), and a call
+depends on the nearest call of that identifier before it (on the first after it, if none is). Content and further keys of
+messages, calls and results are kept, in order of keys. A null conv_id is a conversation of its own. An empty table gives
 no rows; further columns are ignored. No conversation is gathered in one place: there is a row for each message.
 """
 
@@ -26,6 +28,23 @@ def canonical(text: F.Column) -> F.Column:
     return F.to_json(F.try_parse_json(text))
 
 
+def quoted(x: F.Column) -> F.Column:
+    return F.coalesce(F.regexp_extract(F.to_json(F.struct(x.alias("k"))), r"(?s)^\{\"k\":(.*)\}$", 1), F.lit("null"))
+
+
+def json_of(x: F.Column) -> F.Column:
+    return F.when(x.isNull(), F.lit("null")).otherwise(quoted(x))
+
+
+def written(v: F.Column, own: dict[str, F.Column]) -> F.Column:
+    """The object of the given keys (as JSON) and all other keys of the variant v, in order of keys."""
+    other = F.map_filter(v.try_cast("map<string,variant>"), lambda k, _: ~k.isin(*own))
+    pairs = F.transform(F.map_entries(other), lambda e: F.struct(e["key"].alias("k"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("j")))
+    mine = F.array(*[F.struct(F.lit(k).alias("k"), j.alias("j")) for k, j in own.items()])
+    every = F.array_sort(F.concat(F.coalesce(pairs, F.slice(mine, 1, 0)), mine))
+    return F.concat(F.lit("{"), F.array_join(F.transform(every, lambda e: F.concat(quoted(e["k"]), F.lit(":"), e["j"])), ","), F.lit("}"))
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text with calls (array) and answers (identifier)."""
     obj = F.when(F.ltrim("text").startswith("{"), F.try_parse_json("text"))
@@ -39,9 +58,9 @@ def parse(messages: DataFrame) -> DataFrame:
         a = get(x, "$.arguments", "variant")
         return F.coalesce(F.when(F.schema_of_variant(a) == "STRING", F.to_json(F.try_parse_json(get(x, "$.arguments", "string")))), F.to_json(a))
 
-    made = F.transform("raw", lambda x: F.struct(get(x, "$.id", "string").alias("id"), get(x, "$.name", "string").alias("name"), arguments(x).alias("arguments"), F.coalesce(get(x, "$.depends_on", "array<string>"), F.array().cast("array<string>")).alias("depends_on")))
+    made = F.transform("raw", lambda x: F.struct(get(x, "$.id", "string").alias("id"), get(x, "$.name", "string").alias("name"), arguments(x).alias("arguments"), F.coalesce(get(x, "$.depends_on", "array<string>"), F.array().cast("array<string>")).alias("depends_on"), written(x, {"arguments": F.coalesce(arguments(x), F.lit("null")), "id": json_of(get(x, "$.id", "string")), "name": json_of(get(x, "$.name", "string"))}).alias("json")))
     answers = F.when(F.col("role") == "tool", get(F.col("v"), "$.tool_call_id", "string"))
-    return m.select("conv_id", "turn", "role", "text", made.alias("calls"), answers.alias("answers"), F.when(F.col("role") == "tool", F.to_json(F.try_variant_get(F.col("v"), "$.content", "variant"))).alias("result"))
+    return m.select("conv_id", "turn", "role", "text", made.alias("calls"), answers.alias("answers"), "v")
 
 
 def link_calls(spark: SparkSession, parsed: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -51,33 +70,34 @@ def link_calls(spark: SparkSession, parsed: DataFrame, schemas: DataFrame) -> Da
     """
     has = parsed.filter(F.size("calls") > 0)
     calls = has.select("conv_id", "turn", F.posexplode("calls").alias("at", "c")).select("conv_id", "turn", "at", "c.*")
-    first = F.row_number().over(W.partitionBy("conv_id", "id").orderBy("turn", "at"))
-    calls = stash(spark, calls.withColumn("k", first).filter("k = 1 or id is null").drop("k"), "calls")
-    results = parsed.filter(F.col("answers").isNotNull()).groupBy("conv_id", "answers").agg(F.count("*").alias("results"))
-    c, r = calls.alias("c"), results.alias("r")
-    linked = c.join(r, F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("c.id") == F.col("r.answers")), "left").select("c.*", F.coalesce("r.results", F.lit(0)).alias("results"))
+    calls = stash(spark, calls.withColumn("uid", F.monotonically_increasing_id()), "calls")
+    known = calls.filter("id is not null").select("conv_id", F.col("id").alias("key"), "turn", F.lit(0).alias("asks"), "at", "uid", F.lit(None).cast("long").alias("of"))
+
+    def nearest(asked: DataFrame) -> DataFrame:
+        """(of, uid): the last call of the key up to the asking turn, else the first one after; none if there is none."""
+        w = W.partitionBy("conv_id", "key").orderBy("turn", "asks", "at")
+        so_far, any_ = F.last("uid", True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.first("uid", True).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+        return known.unionByName(asked).select("asks", "of", F.coalesce(so_far, any_).alias("uid")).filter("asks = 1 and uid is not null").select("of", "uid")
+
+    none = [F.lit(1).alias("asks"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("uid")]
+    answers = parsed.filter(F.col("answers").isNotNull()).select("conv_id", F.col("answers").alias("key"), "turn", *none, F.lit(0).cast("long").alias("of"))
+    results = nearest(answers).groupBy("uid").agg(F.count("*").alias("results"))
+    linked = calls.join(results, "uid", "left").withColumn("results", F.coalesce("results", F.lit(0)))
 
     # depth, round by round: a call whose calls are all placed is placed next
-    nodes = calls.filter("id is not null").select("conv_id", "id").distinct()
-    need = calls.filter("id is not null").select("conv_id", "id", F.explode("depends_on").alias("on")).distinct()
-    n, e = nodes.alias("n"), need.alias("e")
-    need = e.join(n, F.col("e.conv_id").eqNullSafe(F.col("n.conv_id")) & (F.col("e.on") == F.col("n.id")), "left_semi")
-    left = stash(spark, need, "edges")
+    nodes = calls.select("uid")
+    need = calls.select("conv_id", F.explode("depends_on").alias("key"), "turn", *[c for c in none[:2]], F.lit(None).cast("long").alias("uid"), F.col("uid").alias("of"))
+    left = stash(spark, nearest(need.filter("key is not null")).select(F.col("of").alias("uid"), F.col("uid").alias("on")).distinct(), "edges")
     placed, open_, depth = None, nodes, 0
     while True:
-        o, w = open_.alias("o"), left.alias("w")
-        same = F.col("o.conv_id").eqNullSafe(F.col("w.conv_id")) & (F.col("o.id") == F.col("w.id"))
-        now = stash(spark, o.join(w, same, "left_anti").withColumn("depth", F.lit(depth)), "placed")
+        now = stash(spark, open_.join(left.select("uid"), "uid", "left_anti").withColumn("depth", F.lit(depth)), "placed")
         placed = now if placed is None else placed.union(now)
         if not left.limit(1).count() or not now.limit(1).count():
             break
-        d = now.alias("d")
-        left_ = left.alias("w").join(d, F.col("w.conv_id").eqNullSafe(F.col("d.conv_id")) & (F.col("w.on") == F.col("d.id")), "left_anti")
-        open_ = stash(spark, o.join(d, F.col("o.conv_id").eqNullSafe(F.col("d.conv_id")) & (F.col("o.id") == F.col("d.id")), "left_anti"), "open")
-        left = stash(spark, left_, "edges")
+        open_ = stash(spark, open_.join(now, "uid", "left_anti"), "open")
+        left = stash(spark, left.join(now.select(F.col("uid").alias("on")), "on", "left_anti").select("uid", "on"), "edges")
         depth += 1
-    x, p = linked.alias("x"), placed.alias("p")
-    linked = x.join(p, F.col("x.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("x.id") == F.col("p.id")), "left").select("x.*", "p.depth")
+    linked = linked.join(placed, "uid", "left")
 
     y, s = linked.alias("y"), schemas.alias("s")
     y = y.join(s, F.col("y.name") == F.col("s.name"), "left").select("y.*", F.col("s.name").isNotNull().alias("known"), "s.required", "s.types")
@@ -104,23 +124,22 @@ def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame | N
     """conv_id, turn, role, json, n_calls, n_linked, n_valid, n_cyclic of every message."""
     parsed = parse(messages)
     calls = link_calls(spark, parsed, schemas if schemas is not None else no_schemas(spark))
-    one = F.struct("depth", "turn", "at", "arguments", "id", "name")
+    one = F.struct("depth", "turn", "at", "json")
     per = calls.groupBy("conv_id", "turn").agg(
         F.sort_array(F.collect_list(one)).alias("ordered"),  # the calls of one message
         F.count("*").alias("n_calls"),
         F.sum((F.col("results") > 0).cast("int")).alias("n_linked"),
         F.sum(F.col("valid").cast("int")).alias("n_valid"),
-        F.sum((F.col("depth").isNull() & F.col("id").isNotNull()).cast("int")).alias("n_cyclic"),
+        F.sum(F.col("depth").isNull().cast("int")).alias("n_cyclic"),
     )
     p, c = parsed.alias("p"), per.alias("c")
     m = p.join(c, F.col("p.conv_id").eqNullSafe(F.col("c.conv_id")) & F.col("p.turn").eqNullSafe(F.col("c.turn")) & (F.size("p.calls") > 0), "left").select("p.*", "c.ordered", "c.n_calls", "c.n_linked", "c.n_valid", "c.n_cyclic")
-    quoted = lambda x: F.coalesce(F.regexp_extract(F.to_json(F.struct(x.alias("k"))), r"(?s)^\{\"k\":(.*)\}$", 1), F.lit("null"))
-    text = lambda x: F.when(x.isNull(), F.lit("null")).otherwise(quoted(x))
-    each = F.transform("ordered", lambda x: F.concat(F.lit('{"arguments":'), F.coalesce(x["arguments"], F.lit("null")), F.lit(',"id":'), text(x["id"]), F.lit(',"name":'), text(x["name"]), F.lit("}")))
-    head = F.concat(F.lit(',"role":'), text(F.col("role")))
-    plain = F.concat(F.lit('{"content":'), text(F.col("text")), head, F.lit("}"))
-    made = F.concat(F.lit('{"content":null'), head, F.lit(',"tool_calls":['), F.array_join(each, ","), F.lit("]}"))
-    answer = F.concat(F.lit('{"content":'), F.coalesce("result", F.lit("null")), head, F.lit(',"tool_call_id":'), text(F.col("answers")), F.lit("}"))
+    head = F.concat(F.lit(',"role":'), json_of(F.col("role")))
+    plain = F.concat(F.lit('{"content":'), json_of(F.col("text")), head, F.lit("}"))
+    content = F.coalesce(F.to_json(F.try_variant_get(F.col("v"), "$.content", "variant")), F.lit("null"))
+    each = F.concat(F.lit("["), F.array_join(F.transform("ordered", lambda x: x["json"]), ","), F.lit("]"))
+    made = written(F.col("v"), {"content": content, "role": json_of(F.col("role")), "tool_calls": each})
+    answer = written(F.col("v"), {"content": content, "role": json_of(F.col("role")), "tool_call_id": json_of(F.col("answers"))})
     line = F.when(F.size("ordered") > 0, made).when(F.col("answers").isNotNull(), answer).otherwise(plain)
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return m.select("conv_id", "turn", "role", line.alias("json"), *map(count, ("n_calls", "n_linked", "n_valid", "n_cyclic")))

@@ -215,3 +215,12 @@ def test_near_duplicates_keep_unique_texts(spark):
     assert got.columns == df.columns
     want = [(None, text(1)), (None, text(2)), (5, text(4)), (3, text(3)), (7, text(5)), (None, ""), (None, None), (8, "")]
     assert sorted(map(str, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(str, want))
+
+
+def test_chat_repeated_identifiers(spark):
+    call = lambda n, **more: {"id": "call_0", "name": "f", "arguments": {"n": n}, **more}
+    m = [(1, 0, "assistant", json.dumps({"content": "first", "tool_calls": [call(1, type="function")], "model": "m"})), (1, 1, "tool", json.dumps({"tool_call_id": "call_0", "content": "r1", "is_error": False})), (1, 2, "assistant", json.dumps({"tool_calls": [call(2)]})), (1, 3, "tool", json.dumps({"tool_call_id": "call_0", "content": "r2"})), (1, 4, "assistant", json.dumps({"tool_calls": [call(3)]}))]
+    got = {r.turn: r for r in chat_tools.format_chat(spark, spark.createDataFrame(m, "conv_id long, turn long, role string, text string")).collect()}
+    assert [(got[i].n_calls, got[i].n_linked, got[i].n_cyclic) for i in (0, 2, 4)] == [(1, 1, 0), (1, 1, 0), (1, 0, 0)]
+    assert got[0].json == '{"content":"first","model":"m","role":"assistant","tool_calls":[{"arguments":{"n":1},"id":"call_0","name":"f","type":"function"}]}'
+    assert got[1].json == '{"content":"r1","is_error":false,"role":"tool","tool_call_id":"call_0"}'
