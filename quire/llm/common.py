@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -21,9 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where it is unset, as in tests."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Only a local session, as in tests, gets one of its own."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return at or _own_dir()
+    if at:
+        return at
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_dir()
 
 
 @functools.cache
@@ -38,6 +43,36 @@ def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one run of an operator, in the shared folder; close() deletes those that are not kept."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.at, self.kept = spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", set()
+
+    def table(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        path = f"{self.at}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        if keep:
+            self.kept.add(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.at)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        kept = {p.rsplit("/", 1)[-1] for p in self.kept}
+        for x in fs.listStatus(path) if fs.exists(path) else []:
+            if x.getPath().getName() not in kept:
+                fs.delete(x.getPath(), True)
+
+
+def small_batches(spark: SparkSession, rows: int) -> None:
+    """Lower the session's rows of an Arrow batch to `rows` (never raise them): rows hold whole texts, and lazy results are
+    run after the operator returns, so that the setting cannot be put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     with np.errstate(over="ignore"):

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import pieces
+from .common import pieces, small_batches
 
 WEIGHTS = Path(__file__).with_name("block_lstm.npz")
 PATHS, WORDS, SIZES = 96, 48, 8
@@ -366,7 +366,7 @@ def extract(pages_: list[str | None], net: BiLstm) -> list[str]:
 
 def extract_pages(spark: SparkSession, pages_: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    small_batches(spark, 1000)
     with np.load(WEIGHTS) as w:
         sent = spark.sparkContext.broadcast({k: w[k] for k in w.files})  # of fixed size
 

@@ -2,47 +2,54 @@
 
 Documents are sets of hashed five-word shingles. Equal sets form one node. A node's shingles are hashed into groups and
 the group counts form its point: the sum over groups of the smaller count bounds the overlap of two sets from above,
-and the counts of a tree node's bounding box bound the overlap with all points in it. Candidates are nodes that share a
-shingle among the first ``n - ceil(t * n) + 1`` of both (two sets that link always do); shingles of common
-passages, counted over all texts, come last in the order of shingles. Each such bucket is joined
-with itself by the R-tree, and the surviving pairs are verified on the whole sets.
-
-Large groups of near copies are joined in rounds, so that no group is expanded into all pairs. In round one each
-node proposes links to the PROPOSALS candidates of the highest bound among the first and the preceding node of its buckets;
-connected components follow from the verified proposals; nodes next to each other in buckets of several components propose
-again. In the last round the R-tree join gives only pairs whose components
-still differ, and all that survive the bound are verified: no link between components is lost.
+and the largest counts of a tree node's bounding box bound the overlap with all points in it.
+
+The tree's directory is by coordinate: nodes that share a shingle among the first ``n - ceil(t * n) + 1`` of both (two sets
+that link always do; boxes over unlike texts bound nothing) stand in one bucket; shingles of common passages,
+counted over all texts, come last in that order, and the bucket of a frequent one is dealt by its nodes. Below a bucket are
+tiles of like set sizes, of bounded weight, and below these boxes down to leaves. Pairs of boxes are followed down
+from the top as long as their summed minima reach the overlap needed.
+
+Large groups of near copies are never expanded into all pairs. First each node proposes links to the PROPOSALS candidates of
+the highest bound among the first and the preceding node of its buckets; verified ones give components. Then the R-tree join
+runs over the buckets that hold several components. A cell gives a spanning forest of the pairs that the
+bound leaves: a pair whose components are joined already, in the cell or before, is not given. Forests are verified on the whole
+sets. Where a pair of a forest is refuted, what it joined is open again: those cells alone are run once more, with
+the sets in place of the points, so that every pair they give is a link. So no link between components is lost, and each
+cell gives fewer pairs than it has nodes.
 
 Null and empty texts have an empty set and link with nothing. Repeated rows and equal texts fall into one component. A
-null doc_id takes part; component_id is the smallest doc_id that is not null (else null). Further columns are ignored.
+null doc_id takes part; component_id is the smallest doc_id that is not null (else null). An empty table gives no rows.
+Further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import MIX_A, U64, mix, pieces, shingle_sets, stash
+from .common import MIX_A, U64, Scratch, mix, pieces, shingle_sets, small_batches
 
-#: Points of a bucket that are joined in one R-tree; larger buckets are tiled.
-CELL = 2048
-LEAF = 32
-BLOOM_BITS = 1 << 23
+#: Nodes of a tile, and shingles of them, about: larger buckets are tiled.
+CELL, WEIGHT = 2048, 1 << 21
+LEAF, FAN = 32, 8
 #: Shingles are counted in so many cells, to take those of common passages last.
 CELL_BITS, SLICES = 20, 64
 CELLS = 1 << CELL_BITS
-#: Links that a node proposes in round one.
+#: Buckets of cells with more texts than this are dealt by node.
+FREQUENT = 8192
+#: Links that a node proposes at first.
 PROPOSALS = 3
 #: Candidates of a node whose points are compared for that: those with the most buckets in common.
 TRIED = 4
 #: So many signatures of a node before the one of a bucket tell whether an earlier bucket has a pair.
 EARLIER, NONE = 4, -(1 << 63)
-#: Further rounds of such proposals, between components and in another order each.
-ROUNDS = 1
+#: Bits of a Bloom filter for each key, and their most: 32 MB are broadcast at most; a full filter only lets more through.
+BLOOM_SHARE, BLOOM_MOST, CHUNK = 16, 1 << 28, 1 << 15
 
 
 def _fingerprint(s: np.ndarray) -> int:
@@ -53,9 +60,9 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def _n_groups(n: int) -> int:
-    """Groups of a point: a power of two, half as many as shingles and 64 at least (the bound of short sets is weak in
-    fewer), so that points of similar sets can be folded."""
-    return max(64, 1 << max(0, n // 2 - 1).bit_length())
+    """Groups of a point: a power of two, twice as many as shingles (then the bound is a few hundredths above the overlap)
+    and 64 at least, so that points of similar sets can be folded."""
+    return max(64, 1 << max(0, 2 * n - 1).bit_length())
 
 
 def point(s: np.ndarray) -> bytes:
@@ -66,7 +73,23 @@ def point(s: np.ndarray) -> bytes:
 
 
 def counts_of(p: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(p[:-1]), "u1" if p[-1:] == b"1" else "<u4").astype(np.int32)
+    x = np.frombuffer(zlib.decompress(p[:-1]), "u1" if p[-1:] == b"1" else "<u4")
+    return x.astype(np.uint16 if p[-1:] == b"1" and len(x) < 1 << 22 else np.uint32)  # folded counts fit
+
+
+class Kept(dict):
+    """Arrays by key, up to a number of elements."""
+
+    def __init__(self, make, most: int = 1 << 23):
+        self.make, self.most, self.size = make, most, 0
+
+    def __missing__(self, key):
+        if self.size > self.most:
+            self.clear()
+            self.size = 0
+        x = self[key] = self.make(key)
+        self.size += x.size
+        return x
 
 
 def fold(v: np.ndarray, g: int) -> np.ndarray:
@@ -85,7 +108,7 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 def _nodes(batches):
     """A row for each document, and at the end of a task rows of its sketch (slice, counts): how many texts hold a
     shingle of each cell."""
-    names = ["doc_id", "node", "n", "point"]
+    names = ["doc_id", "node", "n", "sketch"]
     sketch = np.zeros(CELLS, dtype="<u4")
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -93,16 +116,15 @@ def _nodes(batches):
             nodes = [_fingerprint(s) for s in sets]
             once = {x: s for x, s in zip(nodes, sets, strict=True)}
             sketch += np.bincount((np.concatenate(list(once.values())) >> U64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype("<u4")
-            points = [point(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(points, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.binary())], names=names)
     slices = sketch.reshape(SLICES, -1)
     used = np.flatnonzero(slices.any(axis=1))
     yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary())], names=names)
 
 
-def _common(members: DataFrame) -> np.ndarray:
-    """Which cells of shingles are common: counted over all texts, far above the mean. The slices of the tasks' sketches
-    are added by slice; the driver gets CELLS / 8 bits."""
+def _cells(members: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which cells of shingles are common, counted over all texts: far above the mean; and into how many parts the buckets
+    of each are dealt. The slices of the tasks' sketches are added by slice; the driver gets CELLS counts."""
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -112,12 +134,12 @@ def _common(members: DataFrame) -> np.ndarray:
                 sums[i] = sums[i] + x if i in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["at", "counts"])
 
-    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("point").alias("counts"))
+    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("sketch").alias("counts"))
     total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
     for at, counts in slices.repartition(SLICES, "at").mapInArrow(add, "at long, counts binary").toLocalIterator():  # SLICES rows
         total[at] = np.frombuffer(counts, dtype=np.int64)
-    mean = total.sum() / CELLS
-    return (total > mean + 6 * mean**0.5 + 24).ravel()
+    mean, total = total.sum() / CELLS, total.ravel()
+    return total > mean + 6 * mean**0.5 + 24, np.minimum(-(-total // FREQUENT), 1 << 30).astype(np.int32)
 
 
 def _rare_first(s: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -126,15 +148,16 @@ def _rare_first(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~last], s[last]])
 
 
-def _prefixes(percent: int, common):
-    """Of each set, once in a task: its node and the first shingles."""
+def _prefixes(percent: int, cells):
+    """Of each set, once in a task: its node and the first shingles, with the part (-1: the only one) of their buckets."""
 
     def run(batches):
         seen: set[int] = set()
+        common, dealt = cells.value
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = shingle_sets(part.column("text"))
-                sigs, nodes = [], []
+                sigs, nodes, parts = [], [], []
                 if len(seen) > 500_000:
                     seen.clear()
                 for s in sets:
@@ -145,58 +168,54 @@ def _prefixes(percent: int, common):
                         continue
                     seen.add(node)
                     p = len(s) - (percent * len(s) + 99) // 100 + 1
-                    sigs.append(_rare_first(s, common.value)[:p])
+                    sigs.append(_rare_first(s, common)[:p])
                     nodes.append(np.full(p, node, dtype=np.int64))
+                    of = dealt[(sigs[-1] >> U64(64 - CELL_BITS)).astype(np.int64)]
+                    parts.append(np.where(of > 1, (node >> 33) % np.maximum(of, 1), -1).astype(np.int32))
                 if sigs:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(parts)), pa.array(np.concatenate(nodes))], names=["sig", "part", "node"])
 
     return run
 
 
 def _buckets(batches):
-    """Rows sorted by (sig, node), one signature's rows together: those of signatures with two nodes at least, each with
-    the first and the preceding node of its bucket. Only the last row is kept from batch to batch."""
-    none = (None, None, None, False)
-    sig0, first0, last0, out0 = none
+    """Rows sorted by (sig, part, node), one bucket's rows together: those of buckets with two nodes at least or dealt in
+    parts, each with the first and the preceding node of its bucket. Only the last row is kept from batch to batch."""
+    last = None  # sig, part, first, node, whether it was given
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, node = (np.asarray(batch.column(i)) for i in (0, 1))
+        sig, part, node = (np.asarray(batch.column(i)) for i in range(3))
         keep = np.ones(len(sig), dtype=bool)
         keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        if sig0 is not None and sig[0] == sig0 and node[0] == last0:
+        if last and (sig[0], node[0]) == (last[0], last[3]):
             keep[0] = False
-        sig, node = sig[keep], node[keep]
+        sig, part, node = sig[keep], part[keep], node[keep]
         if not len(sig):
             continue
         new = np.ones(len(sig), dtype=bool)
-        new[1:] = sig[1:] != sig[:-1]
+        new[1:] = (sig[1:] != sig[:-1]) | (part[1:] != part[:-1])
         starts = np.flatnonzero(new)
         first = node[starts][np.cumsum(new) - 1]
         before = np.concatenate([node[:1], node[:-1]])
+        carried = last is not None and (sig[0], part[0]) == last[:2]
         follows = ~new
-        rows = [(sig, node, first, before)]
-        carried = sig0 is not None and sig[0] == sig0
         if carried:
-            end = starts[1] if len(starts) > 1 else len(sig)
-            first[:end] = first0
-            before[0] = last0
-            follows[0] = True
-            head = not out0
+            first[: starts[1] if len(starts) > 1 else len(sig)] = last[2]
+            before[0], follows[0] = last[3], True
         lead = np.zeros(len(sig), dtype=bool)  # a bucket's first row is given once a second one is there
         lead[:-1] = new[:-1] & ~new[1:]
         if carried:
             lead[0] = False
-            if head:
-                rows.insert(0, tuple(np.array([x]) for x in (sig0, first0, first0, first0)))
-        use = follows | lead
-        before[lead] = node[lead]
-        rows[-1] = tuple(x[use] for x in rows[-1])
-        cols = [np.concatenate(c) for c in zip(*rows, strict=True)]
-        sig0, first0, last0 = sig[-1], first[-1], node[-1]
-        out0 = bool(use[-1])
+        alone = ~follows
+        before[alone] = node[alone]
+        use = follows | lead | (part >= 0)
+        cols = [x[use] for x in (sig, node, first, before)]
+        if carried and not last[4]:
+            cols = [np.concatenate([[x], c]) for x, c in zip((last[0], last[2], last[2], last[2]), cols, strict=True)]
+        last = (sig[-1], part[-1], first[-1], node[-1], bool(use[-1]))
         if len(cols[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "node", "first", "before"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["sig", "node", "first", "before"])
 
 
 def _bounded(percent: int):
@@ -228,100 +247,159 @@ def _met(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return out
 
 
+def _blocks(k: int, size: int) -> list[np.ndarray]:
+    return [np.arange(i, min(i + size, k)) for i in range(0, k, size)]
+
+
 class RTree:
-    """Points of one bucket in leaves of LEAF; each leaf has the largest counts and the range of set sizes."""
+    """Points of one cell: leaves of LEAF, and above them nodes of FAN, up to one root. A box has the largest counts, the
+    range of set sizes, and the component if it is one for all. With sides, only points of both sides are joined."""
 
-    def __init__(self, n: np.ndarray, comp: np.ndarray, points: list[np.ndarray], before: np.ndarray):
+    def __init__(self, n: np.ndarray, comp: np.ndarray, points: list[np.ndarray], before: np.ndarray, side: np.ndarray | None = None):
         self.n, self.comp, self.points, self.before = n, comp, points, before
-        g = min(64, min(len(p) for p in points))
-        self.low = np.stack([fold(p, g) for p in points])
+        self.side = side if side is not None and side.any() else None
+        self.g = min(512, min(len(p) for p in points))
+        low = np.stack([fold(p, self.g) for p in points]).astype(np.uint32)
         order = np.lexsort((n, comp, np.floor(np.log(np.maximum(n, 1)) / np.log(4 / 3))))
-        self.leaves = [order[i : i + LEAF] for i in range(0, len(order), LEAF)]
-        self.top = np.stack([self.low[x].max(axis=0) for x in self.leaves])
-        self.least = np.array([n[x].min() for x in self.leaves])
-        self.most = np.array([n[x].max() for x in self.leaves])
-        self.one = np.array([comp[x[0]] if (comp[x] == comp[x[0]]).all() else -1 for x in self.leaves])
-        self.mixed = np.array([not (comp[x] == comp[x[0]]).all() for x in self.leaves])
-
-    def pairs(self, percent: int):
-        """All (i, j) of different components whose bound reaches the overlap they need, each once."""
-        for k, leaf in enumerate(self.leaves):
-            others = np.arange(k, len(self.leaves))
-            need = least_overlap(self.least[k], self.least[others], percent)
-            sizes = (self.most[others] * 100 >= percent * self.least[k]) & (self.most[k] * 100 >= percent * self.least[others])
-            apart = self.mixed[k] | self.mixed[others] | (self.one[others] != self.one[k])
-            box = np.minimum(self.top[k], self.top[others]).sum(axis=1)
-            for o in others[sizes & apart & (box >= need)]:
-                yield from self._leaves(leaf, self.leaves[o], o == k, percent)
-
-    def _leaves(self, x: np.ndarray, y: np.ndarray, same: bool, percent: int):
-        need = least_overlap(self.n[x][:, None], self.n[y][None, :], percent)
-        ok = (self.comp[x][:, None] != self.comp[y][None, :]) & (np.minimum(self.n[x][:, None], self.n[y][None, :]) >= need)
-        ok &= ~_met(self.before[x][:, None, :], self.before[y][None, :, :])
-        if same:
-            ok &= np.tri(len(x), len(y), -1, dtype=bool)
-        if ok.any():
-            ok &= np.minimum(self.low[x][:, None, :], self.low[y][None, :, :]).sum(axis=2) >= need
-        for i, j in zip(*np.nonzero(ok), strict=True):
-            p, q = self.points[x[i]], self.points[y[j]]
-            g = min(len(p), len(q))
-            if np.minimum(fold(p, g), fold(q, g)).sum() >= need[i, j]:
-                yield x[i], y[j]
-
-
-def _small(sig, cell, node, comp, n, before, points, percent: int):
-    """Pairs of the buckets that one leaf holds: row i with the rows behind it in its bucket."""
-    found: dict[tuple[int, int], tuple[int, int]] = {}
+        self.leaves = [order[x] for x in _blocks(len(order), LEAF)]
+        self.low = [low[x] for x in self.leaves]
+        one = lambda x: comp[x[0]] if (comp[x] == comp[x[0]]).all() else NONE
+        box = (np.stack([x.max(axis=0) for x in self.low]), np.array([n[x].min() for x in self.leaves]), np.array([n[x].max() for x in self.leaves]), np.array([one(x) for x in self.leaves]))
+        self.levels, self.below = [box], []
+        while len(box[0]) > 1:
+            own = _blocks(len(box[0]), FAN)
+            box = (np.stack([box[0][x].max(axis=0) for x in own]), np.array([box[1][x].min() for x in own]), np.array([box[2][x].max() for x in own]), np.array([box[3][x[0]] if (box[3][x] == box[3][x[0]]).all() else NONE for x in own]))
+            self.levels.append(box)
+            self.below.append(own)
+
+    def leaf_pairs(self, percent: int):
+        """Pairs (i >= j) of leaves whose boxes, and those above them, leave a pair possible: from the root downward."""
+        stack = [(len(self.levels) - 1, 0, 0)]
+        while stack:
+            k, i, j = stack.pop()
+            if not k:
+                yield i, j
+                continue
+            top, least, most, one = self.levels[k - 1]
+            for a in self.below[k - 1][i]:
+                others = self.below[k - 1][j]
+                others = others[others <= a] if i == j else others
+                need = least_overlap(least[a], least[others], percent)
+                ok = (most[others] * 100 >= percent * least[a]) & (most[a] * 100 >= percent * least[others])
+                ok &= (one[a] == NONE) | (one[others] != one[a])
+                ok &= np.minimum(top[a], top[others]).sum(axis=1) >= need
+                stack += [(k - 1, a, b) for b in others[ok]]
+
+    def forest(self, percent: int, overlap=None):
+        """Pairs (i, j) that join all components which the bound (or overlap(i, j), where given) leaves joined."""
+        label, n = np.unique(self.comp, return_inverse=True)[1], self.n
+
+        def folded(leaf: int) -> np.ndarray:
+            own = [self.points[i] for i in self.leaves[leaf]]
+            return np.stack([fold(p, min(map(len, own))) for p in own])
+
+        sharp = Kept(folded)
+
+        for a, b in self.leaf_pairs(percent):
+            x, y = self.leaves[a], self.leaves[b]
+            need = least_overlap(n[x][:, None], n[y][None, :], percent)
+            ok = (label[x][:, None] != label[y][None, :]) & (np.minimum(n[x][:, None], n[y][None, :]) >= need)
+            if self.side is not None:
+                ok &= self.side[x][:, None] != self.side[y][None, :]
+            if a == b:
+                ok &= np.tri(len(x), len(y), -1, dtype=bool)
+            if not ok.any():
+                continue
+            ok &= ~_met(self.before[x][:, None, :], self.before[y][None, :, :])
+            for i in np.flatnonzero(ok.any(axis=1)):
+                at = np.flatnonzero(ok[i])
+                ok[i, at] = np.minimum(self.low[a][i], self.low[b][at]).sum(axis=1) >= need[i, at]
+            if not ok.any():
+                continue
+            g = min(min(len(self.points[i]) for i in x), min(len(self.points[i]) for i in y))
+            p, q = fold(sharp[a], g), fold(sharp[b], g)
+            for i in np.flatnonzero(ok.any(axis=1)):
+                at = np.flatnonzero(ok[i] & (label[y] != label[x[i]]))
+                if not len(at):
+                    continue
+                bound = np.minimum(p[i], q[at]).sum(axis=1)
+                hits = at[bound >= need[i, at]]
+                for j in hits[np.argsort(-bound[bound >= need[i, at]] / need[i, hits], kind="stable")]:
+                    u, v = x[i], y[j]
+                    if label[u] != label[v] and (overlap is None or overlap(u, v) >= need[i, j]):
+                        label[label == label[u]] = label[v]
+                        yield u, v
+
+
+def _few(sig, cell, node, comp, n, before, points, percent: int, overlap):
+    """Forests (x, y) of the cells that one leaf holds, without a tree: row i with the rows behind it in its cell."""
+    pairs: list[np.ndarray] = []
     for d in range(1, LEAF):
-        i = np.flatnonzero((sig[d:] == sig[:-d]) & (cell[d:] == cell[:-d]) & (comp[d:] != comp[:-d]))
-        if not len(i):
-            if d > 1 and not ((sig[d:] == sig[:-d]) & (cell[d:] == cell[:-d])).any():
-                break
-            continue
+        same = (sig[d:] == sig[:-d]) & (cell[d:] == cell[:-d])
+        if not same.any():
+            break
+        i = np.flatnonzero(same & (comp[d:] != comp[:-d]))
         i = i[(np.minimum(n[i], n[i + d]) >= least_overlap(n[i], n[i + d], percent)) & ~_met(before[i], before[i + d])]
-        for x in i:
-            found.setdefault((min(node[x], node[x + d]), max(node[x], node[x + d])), (x, x + d))
-    for pair, (x, y) in found.items():
-        p, q = (counts_of(points[k]) for k in (x, y))
-        g = min(len(p), len(q))
-        if np.minimum(fold(p, g), fold(q, g)).sum() >= least_overlap(n[x], n[y], percent):
-            yield pair
-
-
-def _tree_join(percent: int):
-    """Rows (sig, cell, node, comp, n, point) sorted by (sig, cell, node): pairs of each cell. Cells of the same nodes are
-    joined once. What is kept from batch to batch is the last cell, of bounded size."""
-
-    def joined(rows: pa.Table, seen: set) -> pa.RecordBatch:
-        sig, cell, node, comp, n = (rows.column(i).to_numpy() for i in range(5))
+        pairs.append(np.stack([i, i + d], axis=1))
+    if not pairs:
+        return
+    all_ = np.concatenate(pairs)
+    linked: dict[tuple[int, int], bool] = {}
+    at, root = None, {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for x, y in all_[np.argsort(all_[:, 0], kind="stable")].tolist():
+        if at != (sig[x], cell[x]):
+            at, root = (sig[x], cell[x]), {}
+        u, v = find(comp[x]), find(comp[y])
+        if u == v:
+            continue
+        key = (node[x], node[y]) if node[x] < node[y] else (node[y], node[x])
+        if key not in linked:
+            p, q = points(x), points(y)
+            g, need = min(len(p), len(q)), least_overlap(n[x], n[y], percent)
+            linked[key] = np.minimum(fold(p, g), fold(q, g)).sum() >= need and (overlap is None or overlap(x, y) >= need)
+        if linked[key]:
+            root[u] = v
+            yield x, y
+
+
+def _tree_join(percent: int, exact: bool):
+    """Rows (sig, cell, side, node, comp, n, point or members, earlier signatures) sorted by (sig, cell, node): the forest
+    (sig, cell, a, b) of each cell. Cells of the same nodes are joined once. What is kept from batch to batch is the last
+    cell, of bounded size. exact: rows have whole sets, and pairs are links."""
+
+    def joined(rows: pa.Table) -> pa.RecordBatch:
+        sig, cell, side, node, comp, n = (rows.column(i).to_numpy() for i in range(6))
+        before = np.stack([rows.column(7 + k).to_numpy() for k in range(EARLIER)], axis=1)
+        held = rows.column(6)
         new = np.ones(len(sig), dtype=bool)
         new[1:] = (sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])
         starts = np.flatnonzero(new)
-        with np.errstate(over="ignore"):
-            key = np.add.reduceat(mix(node.view(U64) * MIX_A), starts)
-        _, once = np.unique(key, return_index=True)
         sizes = np.diff(np.append(starts, len(sig)))
-        use = np.zeros(len(starts), dtype=bool)
-        use[once] = True
-        points = rows.column(5)
-        before = np.stack([rows.column(6 + k).to_numpy() for k in range(EARLIER)], axis=1)
-        rest = np.flatnonzero(np.repeat(use & (sizes <= LEAF), sizes))
-        found = list(_small(*(x[rest] for x in (sig, cell, node, comp, n, before)), points.take(pa.array(rest)).to_pylist(), percent)) if len(rest) else []
-        for k in np.flatnonzero(use & (sizes > LEAF)):
-            x = slice(starts[k], starts[k] + sizes[k])
-            if (comp[x] == comp[starts[k]]).all():
+        found: list[tuple[int, int]] = []
+        members = Kept(lambda i: np.frombuffer(held[int(i)].as_py(), U64))
+        points = Kept(lambda i: counts_of(point(members[i]) if exact else held[int(i)].as_py()))
+        overlap = (lambda i, j: len(np.intersect1d(members[i], members[j], assume_unique=True))) if exact else None
+        rest = np.flatnonzero(np.repeat(sizes <= LEAF, sizes))
+        if len(rest):
+            exactly = (lambda i, j: overlap(rest[i], rest[j])) if exact else None
+            found += [(rest[x], rest[y]) for x, y in _few(*(c[rest] for c in (sig, cell, node, comp, n, before)), lambda i: points[rest[i]], percent, exactly)]
+        for k in np.flatnonzero(sizes > LEAF):
+            x, base = slice(starts[k], starts[k] + sizes[k]), starts[k]
+            if (comp[x] == comp[base]).all():
                 continue
-            own = [counts_of(p) for p in points.slice(starts[k], sizes[k]).to_pylist()]
-            found += [(min(i, j), max(i, j)) for i, j in ((node[starts[k] + i], node[starts[k] + j]) for i, j in RTree(n[x], comp[x], own, before[x]).pairs(percent))]
-        fresh = list({p for p in found if p not in seen})
-        if len(seen) > 200_000:
-            seen.clear()
-        seen.update(fresh)
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in fresh], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            tree = RTree(n[x], comp[x], [points.make(i) for i in range(base, base + sizes[k])], before[x], side[x])
+            found += [(base + i, base + j) for i, j in tree.forest(percent, (lambda i, j: overlap(base + i, base + j)) if exact else None)]  # noqa: B023
+        i, j = (np.array([p[k] for p in found], dtype=np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (sig[i], cell[i], np.minimum(node[i], node[j]), np.maximum(node[i], node[j]))], names=["sig", "cell", "a", "b"])
 
     def run(batches):
         kept: list[pa.RecordBatch] = []
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -329,28 +407,64 @@ def _tree_join(percent: int):
             last = np.flatnonzero((sig != sig[-1]) | (cell != cell[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if kept and (sig[0], cell[0]) != (kept[-1].column(0)[-1].as_py(), kept[-1].column(1)[-1].as_py()):
-                yield joined(pa.Table.from_batches(kept), seen)
+                yield joined(pa.Table.from_batches(kept))
                 kept = []
             if cut:
-                yield joined(pa.Table.from_batches([*kept, batch.slice(0, cut)]), seen)
+                yield joined(pa.Table.from_batches([*kept, batch.slice(0, cut)]))
                 kept = []
             kept.append(batch.slice(cut))
         if kept:
-            yield joined(pa.Table.from_batches(kept), seen)
+            yield joined(pa.Table.from_batches(kept))
 
     return run
 
 
-def _sets(bloom, bits: int):
+def _bloom(spark: SparkSession, keys: DataFrame):
+    """(filter as bytes, broadcast; its bits; column of a key's bit) of a one-column table."""
+    n, name = keys.count(), keys.columns[0]
+    bits = min(BLOOM_MOST, max(CHUNK, 1 << (BLOOM_SHARE * n).bit_length()))
+
+    def fill(batches):
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bit = np.unique(np.asarray(batch.column(0)))
+            for x in np.split(bit, np.flatnonzero(np.diff(bit // CHUNK)) + 1) if len(bit) else []:
+                own = maps.setdefault(int(x[0]) // CHUNK, np.zeros(CHUNK, dtype=np.uint8))
+                own[x % CHUNK] = 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int64()), pa.array([np.packbits(m, bitorder="little").tobytes() for m in maps.values()], pa.binary())], names=["at", "map"])
+
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    chunks = keys.select(bit(name).alias("bit")).repartition((F.col("bit") / CHUNK).cast("long")).mapInArrow(fill, "at long, map binary")
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for at, part in chunks.toLocalIterator():  # bits / CHUNK rows of 4 KB at most
+        out[at * CHUNK // 8 : (at + 1) * CHUNK // 8] = np.frombuffer(part, np.uint8)
+    return spark.sparkContext.broadcast(out), bit
+
+
+def _in(batch: pa.RecordBatch, bloom) -> pa.RecordBatch:
+    at = np.asarray(batch.column("bit"))
+    return batch.filter(pa.array((bloom.value[at >> 3] >> (at & 7)) & 1 == 1))
+
+
+def _sets(spark: SparkSession, texts: DataFrame, carriers: DataFrame) -> DataFrame:
+    """node, n, point and members of the carriers' texts, each node once. A Bloom filter leaves other texts out before they
+    are cut into shingles."""
+    bloom, bit = _bloom(spark, carriers)
+
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
-            for part in pieces(batch, "text"):
-                at = np.asarray(pc.cast(part.column("bit"), pa.int64()))
-                part = part.filter(pa.array((bloom.value[at >> 3] >> (at & 7)) & 1 == 1))
-                sets = [s for s in shingle_sets(part.column("text")) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([_fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
+            for part in pieces(_in(batch, bloom), "text"):
+                sets = {_fingerprint(s): s for s in shingle_sets(part.column("text")) if len(s)}
+                sets = {k: s for k, s in sets.items() if k not in seen}
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.update(sets)
+                own = list(sets.values())
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array([point(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], names=["node", "n", "point", "members"])
 
-    return run
+    found = texts.withColumn("bit", bit("doc_id")).mapInArrow(run, "node long, n long, point binary, members binary")
+    return found.dropDuplicates(["node"])
 
 
 def _verified(percent: int):
@@ -368,35 +482,30 @@ def _verified(percent: int):
     return run
 
 
-def _bit(column) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(BLOOM_BITS))
+def _verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets link. A Bloom filter leaves the sets of other nodes out before the shuffle."""
+    bloom, bit = _bloom(spark, pairs.select("a").union(pairs.select("b")).distinct())
 
+    def needed(batches):
+        for batch in batches:
+            yield _in(batch, bloom).select(["node", "members"])
 
-def _verify(spark: SparkSession, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets link. Only carriers of paired nodes send their sets: a Bloom filter of fixed size
-    (BLOOM_BITS, the only thing broadcast) leaves the others out before the shuffle."""
-    carriers = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select(_bit("carrier").alias("bit"))
-    words = carriers.groupBy((F.col("bit") / 32).cast("int").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("w"))
-    bloom = np.zeros(BLOOM_BITS // 32, dtype="<u4")
-    for at, w in words.toLocalIterator():  # BLOOM_BITS / 32 rows at most, whatever the input
-        bloom[at] = w
-    sent = spark.sparkContext.broadcast(bloom.view(np.uint8))
-    sets = texts.withColumn("bit", _bit("doc_id")).mapInArrow(_sets(sent, BLOOM_BITS), "node long, members binary")
-    left = pairs.join(sets.withColumnRenamed("node", "a").withColumnRenamed("members", "x"), "a")
-    both = left.join(sets.withColumnRenamed("node", "b").withColumnRenamed("members", "y"), "b").select("a", "b", "x", "y")
+    held = sets.select("node", "members", bit("node").alias("bit")).mapInArrow(needed, "node long, members binary")
+    left = pairs.join(held.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+    both = left.join(held.select(F.col("node").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_verified(percent), "a long, b long")
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def components(own: Scratch, edges: DataFrame) -> DataFrame:
     """(node, comp) of every node in edges (a, b): comp is the smallest node that links reach. Labels spread along
     edges and jump to their label's label, until none changes; each round is a written table."""
-    both = stash(spark, edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
-    labels = stash(spark, both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")), "labels")
+    both = own.table(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
+    labels = own.table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")), "labels")
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("near"))
         spread = labels.join(near, labels.node == near.a, "left").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        new = stash(spark, spread.join(jump, "comp", "left").select("node", "was", F.least("comp", "root").alias("comp")), "labels")
+        new = own.table(spread.join(jump, "comp", "left").select("node", "was", F.least("comp", "root").alias("comp")), "labels")
         if not new.filter("comp <> was").limit(1).count():
             return new.select("node", "comp")
         labels = new.select("node", "comp")
@@ -409,65 +518,84 @@ def near_join(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFr
 
 def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, node, n_shingles, root, component_id of every document: node stands for its set, root for its component
-    (rows without shingles are components each, whatever their root)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    (rows without shingles are components each, whatever their root). The result is a written table; what was written on
+    the way is deleted."""
+    small_batches(spark, 2000)
+    own = Scratch(spark)
     texts = docs.select("doc_id", "text")
-    every = stash(spark, texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
-    members = every.filter("n >= 0")
-    common = spark.sparkContext.broadcast(_common(every))  # CELLS booleans
-    nodes = stash(spark, members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("carrier"), F.first("n").alias("n")), "nodes")
-    pairs_of = texts.mapInArrow(_prefixes(percent, common), "sig long, node long")
-    rows = pairs_of.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
-    rows = stash(spark, rows, "buckets")
-    known = members.filter("n > 0").join(rows.select("node").distinct(), "node", "left_semi")
-    points = stash(spark, known.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
+    every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, sketch binary"), "members")
+    members = every.filter("n >= 0").select("doc_id", "node", "n")
+    cells = spark.sparkContext.broadcast(_cells(every))  # CELLS booleans and counts
+    prefixes = texts.mapInArrow(_prefixes(percent, cells), "sig long, part int, node long")
+    rows = prefixes.repartition("sig", "part").sortWithinPartitions("sig", "part", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
+    rows = own.table(rows, "buckets")
+    carriers = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node", "left_semi")
+    sets = own.table(_sets(spark, texts, own.table(carriers.select("doc_id"), "carriers")), "sets")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    best = _proposed(near, points, percent)
-    links = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
-    comp = components(spark, links)
-    for turn in range(ROUNDS):
-        at = _components_at(rows, comp)
-        apart = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("who"), F.count("*").alias("m")).filter("lo <> hi")
-        apart = apart.groupBy("who", "m").agg(F.min("sig").alias("sig"))
-        order = W.partitionBy("sig").orderBy(F.xxhash64(F.lit(turn), "node"))
-        near = [F.struct(F.lag("node", k).over(order).alias("other"), F.lag("comp", k).over(order).alias("its")).alias(f"x{k}") for k in (1, 2, 3)]
-        next_ = at.join(apart.select("sig"), "sig").select("node", "comp", *near).select("node", "comp", F.explode(F.array("x1", "x2", "x3")).alias("x")).select("node", "comp", "x.*")
-        next_ = next_.filter("its is not null and its <> comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        best = _proposed(next_, points, percent)
-        more = stash(spark, _verify(spark, texts, nodes, stash(spark, best, "near"), percent), "found")
-        if not more.limit(1).count():
-            break
-        links = stash(spark, links.union(more), "found")
-        comp = components(spark, links)
-
-    at = _components_at(rows, comp)
-    open_ = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
-    open_ = open_.groupBy("who", "m").agg(F.min("sig").alias("sig"))  # buckets of the same nodes are joined once
-    own_order = W.partitionBy("node").orderBy("sig")
-    earlier = [f"e{k}" for k in range(1, EARLIER + 1)]
-    tiles = F.ceil(F.col("m") / CELL).cast("int")
-    at = at.join(open_.select("sig", "m"), "sig").select("*", *[F.coalesce(F.lag("sig", k).over(own_order), F.lit(NONE)).alias(f"e{k}") for k in range(1, EARLIER + 1)]).withColumn("t", tiles).withColumn("own", F.pmod(F.xxhash64("node"), F.col("t")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("t") - 1))
-    at = at.select("sig", "node", "comp", "t", "own", *earlier, other.alias("o")).select("sig", "node", "comp", *earlier, (F.least("own", "o") * F.col("t") + F.greatest("own", "o")).alias("cell"))
-    at = at.join(points, "node").select("sig", "cell", "node", "comp", "n", "point", *earlier)
-    pairs = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent), "a long, b long").distinct()
-    late = stash(spark, _verify(spark, texts, nodes, stash(spark, pairs, "pairs"), percent), "found")
-    final = components(spark, links.union(late)).withColumnRenamed("comp", "root")
+    links = own.table(_verify(spark, sets, own.table(_proposed(near, sets, percent), "near"), percent), "found")
+    comp = components(own, links)
+
+    at = own.table(_open(rows, comp, sets.select("node", "n"), percent), "open")
+    pairs = own.table(_joined(_with_sets(at, comp, sets, "point"), percent, exact=False), "pairs")
+    told = own.table(pairs.select("a", "b").distinct(), "told")
+    late = own.table(_verify(spark, sets, told, percent), "found")
+    links = links.union(late)
+    again = pairs.join(told.join(late, ["a", "b"], "left_anti"), ["a", "b"], "left_semi").select("sig", "cell").distinct()
+    again = own.table(again, "again")
+    if again.limit(1).count():
+        links = own.table(links, "found")
+        comp = components(own, links)
+        redo = at.join(again, ["sig", "cell"], "left_semi")
+        links = links.union(own.table(_joined(_with_sets(redo, comp, sets, "members"), percent, exact=True).select("a", "b").distinct(), "found"))
+    final = components(own, links).withColumnRenamed("comp", "root")
 
     labelled = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labelled.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     full = labelled.join(smallest, "root", "left")
-    return full.select("doc_id", "node", F.col("n").alias("n_shingles"), "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = full.select("doc_id", "node", F.col("n").alias("n_shingles"), "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = own.table(out, "groups", keep=True)
+    own.close()
+    return out
 
 
-def _components_at(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    return rows.select("sig", "node").join(comp, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+def _open(rows: DataFrame, comp: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """sig, cell, side, node, earlier signatures: rows of buckets that hold several components, in cells. A bucket
+    beyond CELL nodes or WEIGHT shingles is cut into tiles of like sizes and components, and a cell is a pair of tiles that may
+    hold a pair: of near sizes, not of one and the same component. Nothing is ordered or gathered by bucket."""
+    at = rows.select("sig", "node").join(sizes, "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    most = F.ceil(F.greatest(F.count("*") / CELL, F.sum("n") / WEIGHT)).cast("int")
+    buckets = at.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), most.alias("t"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
+    buckets = buckets.groupBy("who", "m").agg(F.min("sig").alias("sig"), F.first("t").alias("t"))  # those of the same nodes are joined once
+    order = W.partitionBy("node").orderBy("sig")
+    earlier = [F.coalesce(F.lag("sig", k).over(order), F.lit(NONE)).alias(f"e{k}") for k in range(1, EARLIER + 1)]
+    at = at.join(buckets.select("sig", "t"), "sig").select("*", *earlier)
+    names = [f"e{k}" for k in range(1, EARLIER + 1)]
+    whole = at.filter("t = 1").select("sig", F.lit(0).cast("long").alias("cell"), F.lit(0).alias("side"), "node", *names)
+    large = at.filter("t > 1").withColumn("size", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / min(percent, 99))).cast("int")).withColumn("own", F.pmod(F.xxhash64("comp"), F.col("t")).cast("int"))
+    parts = large.groupBy("sig", "size", "own").agg(most.alias("parts"))
+    large = large.join(parts, ["sig", "size", "own"]).withColumn("tile", F.xxhash64("size", "own", F.pmod(F.xxhash64("node"), F.col("parts"))))
+    tiles = large.groupBy("sig", "tile", "size").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    x, y = tiles.alias("x"), tiles.alias("y")
+    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.tile") <= F.col("y.tile")) & (F.abs(F.col("x.size") - F.col("y.size")) <= 1)
+    apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
+    met = x.join(y, near & apart).select(F.col("x.sig").alias("sig"), F.col("x.tile").alias("p"), F.col("y.tile").alias("q")).withColumn("cell", F.xxhash64("p", "q"))
+    sides = met.select("sig", "cell", F.explode(F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("tile"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("p").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("q").alias("tile"), F.lit(1).alias("side"))))).alias("s")).select("sig", "cell", "s.*")
+    return whole.unionByName(large.join(sides, ["sig", "tile"]).select("sig", "cell", "side", "node", *names))
+
+
+def _with_sets(at: DataFrame, comp: DataFrame, sets: DataFrame, held: str) -> DataFrame:
+    full = at.join(sets.select("node", "n", held), "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return full.select("sig", "cell", "side", "node", "comp", "n", held, *[f"e{k}" for k in range(1, EARLIER + 1)])
+
+
+def _joined(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    return rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_tree_join(percent, exact), "sig long, cell long, a long, b long")
 
 
 def _proposed(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) to verify early, of candidates given once a bucket: per b, of the TRIED that fit in size and meet in most
-    buckets, the PROPOSALS of the highest bound. Points go with few pairs so; what is passed over here, the last round's
+    buckets, the PROPOSALS of the highest bound. Points go with few pairs so; what is passed over here, the R-tree
     join finds."""
     sizes = points.select("node", "n")
     met = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))

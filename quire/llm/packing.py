@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ascii_words, pieces
+from .common import ascii_words, pieces, small_batches
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long, step_group long"
 END = 2
@@ -190,5 +190,5 @@ def _packed(path: str, longest: int, buffer_tokens: int):
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, longest: int = 4096, buffer_tokens: int = 4 << 20) -> DataFrame:
     """One row per piece of a document: SCHEMA."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    small_batches(spark, 2000)
     return docs.select("doc_id", "text").mapInArrow(_packed(tokenizer, longest, buffer_tokens), SCHEMA)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ascii_words, pieces
+from .common import ascii_words, pieces, small_batches
 
 WORDS, SHAPES, BINS = 768, 256, 24
 TERMS = WORDS + SHAPES + BINS
@@ -146,7 +146,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
 
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BOUND, keep: int | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of every document. With keep: the rows of docs that are predicted so."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    small_batches(spark, 2000)
     sent = spark.sparkContext.broadcast(fit(spark, docs, labels, bound))  # of fixed size: axes and 2 * bound voters
 
     def run(batches):

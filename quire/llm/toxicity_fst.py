@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import pieces, shingle_sets, stash
+from .common import pieces, shingle_sets, small_batches, stash
 from .quality_knn import held_out, sample
 
 #: Toxic documents of the sample, at most (three times as many others); terms of the lexicon, at most.
@@ -197,7 +197,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BO
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = BOUND, keep: int | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of every document. With keep: the rows of docs that are predicted so."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    small_batches(spark, 2000)
     sent = spark.sparkContext.broadcast(fit(spark, docs, labels, bound))  # LEXICON terms at most
 
     def run(batches):
