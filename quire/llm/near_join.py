@@ -59,14 +59,18 @@ def _fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([x], dtype=U64))[0].view(np.int64))
 
 
-def _n_groups(n: int) -> int:
-    """Groups of a point: a power of two, twice as many as shingles (then the bound is a few hundredths above the overlap)
-    and 64 at least, so that points of similar sets can be folded."""
-    return max(64, 1 << max(0, 2 * n - 1).bit_length())
+def _n_groups(n: int, share: float) -> int:
+    """Groups of a point: a power of two, `share` times as many as shingles and 64 at least, so that points of similar sets
+    can be folded."""
+    return max(64, 1 << max(0, int(share * n) - 1).bit_length())
 
 
-def point(s: np.ndarray) -> bytes:
-    g = _n_groups(len(s))
+#: Points that go with proposals are coarse; those of the tree are fine: their bound is a few hundredths above the overlap.
+COARSE, FINE = 0.5, 2.0
+
+
+def point(s: np.ndarray, share: float = FINE) -> bytes:
+    g = _n_groups(len(s), share)
     counts = np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g)
     # counts are small: compressed, a point takes a few bits a group
     return zlib.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes(), 1) + (b"1" if counts.max() < 256 else b"4")
@@ -108,7 +112,7 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 def _nodes(batches):
     """A row for each document, and at the end of a task rows of its sketch (slice, counts): how many texts hold a
     shingle of each cell."""
-    names = ["doc_id", "node", "n", "sketch"]
+    names = ["doc_id", "node", "n", "coarse", "fine"]
     sketch = np.zeros(CELLS, dtype="<u4")
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -116,10 +120,10 @@ def _nodes(batches):
             nodes = [_fingerprint(s) for s in sets]
             once = {x: s for x, s in zip(nodes, sets, strict=True)}
             sketch += np.bincount((np.concatenate(list(once.values())) >> U64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype("<u4")
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([point(s, share) if len(s) else None for s in sets], pa.binary()) for share in (COARSE, FINE)]], names=names)
     slices = sketch.reshape(SLICES, -1)
     used = np.flatnonzero(slices.any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary()), pa.nulls(len(used), pa.binary())], names=names)
 
 
 def _cells(members: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +138,7 @@ def _cells(members: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 sums[i] = sums[i] + x if i in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["at", "counts"])
 
-    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("sketch").alias("counts"))
+    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("coarse").alias("counts"))
     total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
     for at, counts in slices.repartition(SLICES, "at").mapInArrow(add, "at long, counts binary").toLocalIterator():  # SLICES rows
         total[at] = np.frombuffer(counts, dtype=np.int64)
@@ -446,24 +450,23 @@ def _in(batch: pa.RecordBatch, bloom) -> pa.RecordBatch:
     return batch.filter(pa.array((bloom.value[at >> 3] >> (at & 7)) & 1 == 1))
 
 
-def _sets(spark: SparkSession, texts: DataFrame, carriers: DataFrame) -> DataFrame:
-    """node, n, point and members of the carriers' texts, each node once. A Bloom filter leaves other texts out before they
-    are cut into shingles."""
-    bloom, bit = _bloom(spark, carriers)
+def _sets(spark: SparkSession, texts: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """node and members of the needed nodes, each once. A Bloom filter leaves other texts out before they are cut into
+    shingles."""
+    of_doc, doc_bit = _bloom(spark, needed.join(nodes, "node").select("doc_id"))
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for part in pieces(_in(batch, bloom), "text"):
+            for part in pieces(_in(batch, of_doc), "text"):
                 sets = {_fingerprint(s): s for s in shingle_sets(part.column("text")) if len(s)}
                 sets = {k: s for k, s in sets.items() if k not in seen}
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.update(sets)
-                own = list(sets.values())
-                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array([point(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], names=["node", "n", "point", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())], names=["node", "members"])
 
-    found = texts.withColumn("bit", bit("doc_id")).mapInArrow(run, "node long, n long, point binary, members binary")
+    found = texts.withColumn("bit", doc_bit("doc_id")).mapInArrow(run, "node long, members binary")
     return found.dropDuplicates(["node"])
 
 
@@ -482,17 +485,11 @@ def _verified(percent: int):
     return run
 
 
-def _verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets link. A Bloom filter leaves the sets of other nodes out before the shuffle."""
-    bloom, bit = _bloom(spark, pairs.select("a").union(pairs.select("b")).distinct())
-
-    def needed(batches):
-        for batch in batches:
-            yield _in(batch, bloom).select(["node", "members"])
-
-    held = sets.select("node", "members", bit("node").alias("bit")).mapInArrow(needed, "node long, members binary")
-    left = pairs.join(held.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-    both = left.join(held.select(F.col("node").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+def _verify(spark: SparkSession, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets link."""
+    sets = _sets(spark, texts, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_verified(percent), "a long, b long")
 
 
@@ -523,31 +520,33 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
     small_batches(spark, 2000)
     own = Scratch(spark)
     texts = docs.select("doc_id", "text")
-    every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, sketch binary"), "members")
+    every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, coarse binary, fine binary"), "members")
     members = every.filter("n >= 0").select("doc_id", "node", "n")
     cells = spark.sparkContext.broadcast(_cells(every))  # CELLS booleans and counts
     prefixes = texts.mapInArrow(_prefixes(percent, cells), "sig long, part int, node long")
     rows = prefixes.repartition("sig", "part").sortWithinPartitions("sig", "part", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = own.table(rows, "buckets")
-    carriers = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node", "left_semi")
-    sets = own.table(_sets(spark, texts, own.table(carriers.select("doc_id"), "carriers")), "sets")
+    nodes = own.table(members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node", "left_semi"), "nodes")
+    points = every.filter("n > 0").join(nodes.select("node"), "node", "left_semi").select("node", "n", "coarse", "fine")
+    points = own.table(points.dropDuplicates(["node"]), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = own.table(_verify(spark, sets, own.table(_proposed(near, sets, percent), "near"), percent), "found")
+    links = own.table(_verify(spark, texts, nodes, own.table(_proposed(near, points, percent), "near"), percent), "found")
     comp = components(own, links)
 
-    at = own.table(_open(rows, comp, sets.select("node", "n"), percent), "open")
-    pairs = own.table(_joined(_with_sets(at, comp, sets, "point"), percent, exact=False), "pairs")
+    at = own.table(_open(rows, comp, points.select("node", "n"), percent), "open")
+    pairs = own.table(_joined(_with_points(at, comp, points, "fine"), percent, exact=False), "pairs")
     told = own.table(pairs.select("a", "b").distinct(), "told")
-    late = own.table(_verify(spark, sets, told, percent), "found")
+    late = own.table(_verify(spark, texts, nodes, told, percent), "found")
     links = links.union(late)
     again = pairs.join(told.join(late, ["a", "b"], "left_anti"), ["a", "b"], "left_semi").select("sig", "cell").distinct()
     again = own.table(again, "again")
     if again.limit(1).count():
         links = own.table(links, "found")
         comp = components(own, links)
-        redo = at.join(again, ["sig", "cell"], "left_semi")
-        links = links.union(own.table(_joined(_with_sets(redo, comp, sets, "members"), percent, exact=True).select("a", "b").distinct(), "found"))
+        redo = own.table(at.join(again, ["sig", "cell"], "left_semi"), "redo")
+        whole = _sets(spark, texts, nodes, redo.select("node").distinct()).join(points.select("node", "n"), "node")
+        links = links.union(own.table(_joined(_with_points(redo, comp, whole, "members"), percent, exact=True).select("a", "b").distinct(), "found"))
     final = components(own, links).withColumnRenamed("comp", "root")
 
     labelled = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -584,7 +583,7 @@ def _open(rows: DataFrame, comp: DataFrame, sizes: DataFrame, percent: int) -> D
     return whole.unionByName(large.join(sides, ["sig", "tile"]).select("sig", "cell", "side", "node", *names))
 
 
-def _with_sets(at: DataFrame, comp: DataFrame, sets: DataFrame, held: str) -> DataFrame:
+def _with_points(at: DataFrame, comp: DataFrame, sets: DataFrame, held: str) -> DataFrame:
     full = at.join(sets.select("node", "n", held), "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     return full.select("sig", "cell", "side", "node", "comp", "n", held, *[f"e{k}" for k in range(1, EARLIER + 1)])
 
@@ -602,11 +601,7 @@ def _proposed(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     met = met.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
     met = met.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     tried = met.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("shared"), "a"))).filter(F.col("k") <= TRIED).select("a", "b")
-    best = _with_points(tried, points).mapInArrow(_bounded(percent), "a long, b long, score double")
+    x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("pa"))
+    y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("pb"))
+    best = tried.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded(percent), "a long, b long, score double")
     return best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
-
-
-def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
-    y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "pa", "pb")
