@@ -20,7 +20,10 @@ def serial(x: Column) -> Column:
     return F.when(F.octet_length(s) == 8, F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 4))).otherwise(s)
 
 
-def serials_in(x: Column) -> Column:
+def serials_in(x: Column, strict: bool = False) -> Column:
+    """All serial numbers in a text; strict: with an upper-case check digit only."""
+    if strict:
+        return F.regexp_extract_all(x, F.lit("[0-9]{4}-[0-9]{3}[0-9X]"), F.lit(0))
     return F.regexp_extract_all(x, F.lit("[0-9]{4}-[0-9]{3}[0-9xX]"), F.lit(0))
 
 
@@ -28,21 +31,37 @@ def first_int(x: Column) -> Column:
     return F.coalesce(x.try_cast("bigint"), F.regexp_extract(x, "[0-9]+", 0).try_cast("int").cast("bigint"), F.lit(0).cast("bigint"))
 
 
+_ISO = r"^\d{4}-\d{2}-\d{2}$"
+
+
 def granularity(x: Column) -> Column:
-    """year, month, day or null of a date text."""
+    """year, month, day or null of a date text. The bulk, whole days, is told first."""
     return (
-        F.when(x.rlike(r"^\d{4}(-|-x{1,2}(-x{1,2})?)?$"), "year")
+        F.when(x.rlike(_ISO), "day")
+        .when(x.rlike(r"^\d{4}(-|-x{1,2}(-x{1,2})?)?$"), "year")
         .when(x.rlike(r"^(\d{4}-\d{1,2}|\d{4}-[A-Za-z]{3,9}|\d{6})$"), "month")
-        .when(x.rlike(r"^(\d{4}-\d{1,2}-\d{1,2}|\d{8}|\d{4}-[A-Za-z]{3,9}-\d{1,2}|\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}Z?)$"), "day")
+        .when(x.rlike(r"^(\d{4}-\d{1,2}-\d{1,2}|\d{8}|\d{4}-[A-Za-z]{3,9}-\d{1,2}|\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}Z?|\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z)$"), "day")
     )
 
 
 def parse_date(x: Column) -> Column:
-    """The start of what a date text names, as a timestamp; null if it names no date."""
-    formats = ["yyyy-MM-dd HH:mm:ss", "yyyy-M-d", "yyyyMMdd", "yyyy-MMM-d", "yyyy-MMMM-d", "yyyy-M", "yyyyMM", "yyyy-MMM", "yyyy-MMMM"]
-    plain = F.regexp_replace(F.regexp_replace(x, "Z$", ""), "T", " ")
-    day = F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in formats])
-    return F.when(granularity(x) == "year", F.try_to_timestamp(F.substring(x, 1, 4), F.lit("yyyy"))).when(granularity(x).isNotNull(), day)
+    """The start of what a date text names, as a timestamp; null if it names no date. Each text is parsed by the one layout
+    of its shape, whole days by a cast."""
+
+    def at(text: Column, *layouts: str) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in layouts])
+
+    return (
+        F.when(x.rlike(_ISO), x.try_cast("date").cast("timestamp"))
+        .when(x.rlike(r"^\d{4}(-|-x{1,2}(-x{1,2})?)?$"), at(F.substring(x, 1, 4), "yyyy"))
+        .when(x.rlike(r"^\d{4}-\d{1,2}$"), at(x, "yyyy-M"))
+        .when(x.rlike(r"^\d{6}$"), at(x, "yyyyMM"))
+        .when(x.rlike(r"^\d{8}$"), at(x, "yyyyMMdd"))
+        .when(x.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), at(x, "yyyy-M-d"))
+        .when(x.rlike(r"^\d{4}-[A-Za-z]{3,9}$"), at(x, "yyyy-MMM", "yyyy-MMMM"))
+        .when(x.rlike(r"^\d{4}-[A-Za-z]{3,9}-\d{1,2}$"), at(x, "yyyy-MMM-d", "yyyy-MMMM-d"))
+        .when(granularity(x) == "day", at(F.translate(x, "TZ", " "), "yyyy-MM-dd HH:mm:ss"))
+    )
 
 
 def embargo_hours(x: Column) -> Column:
@@ -61,7 +80,9 @@ def embargo_allows(x: Column, t: Column, now: Column) -> Column:
 
 
 def truncate_dots(x: Column, n: int) -> Column:
-    return F.when(F.octet_length(x) < n, x).otherwise(F.concat(F.left(x, F.lit(n)), F.lit("...")))
+    """Texts of n bytes or more are cut to n bytes; a character that is cut through is replaced, as decoders do."""
+    cut = F.make_valid_utf8(F.substring(F.encode(x, "utf-8"), 1, n).cast("string"))
+    return F.when(F.octet_length(x) < n, x).otherwise(F.concat(F.when(F.octet_length(x) == F.length(x), F.left(x, F.lit(n))).otherwise(cut), F.lit("...")))
 
 
 def trim_zeros(x: Column) -> Column:
@@ -83,11 +104,6 @@ def page_count(x: Column, inclusive: bool = True) -> Column:
     return F.when(b >= a, b - a + int(inclusive))
 
 
-def sniff(x: Column, pattern: str = r"10[.][0-9]{2,6}/[^ \"\x1f\x1e]{3,}") -> Column:
-    """The first identifier in a text, without what closes a sentence or bracket."""
-    return F.nullif(F.regexp_replace(F.regexp_extract(x, pattern, 0), r"(/epdf|[\])]+|[.,:*]+)$", ""), F.lit(""))
-
-
 def percent_change(before: Column, after: Column) -> Column:
     return F.when((before == 0) & (after == 0), 0.0).when(before == 0, 100.0).otherwise(F.round((after - before) / before * 100, 4) + 0.0)
 
@@ -98,7 +114,7 @@ def author_name(name: Column, last: Column, first: Column, ident: Column) -> Col
 
 
 def truthy(x: Column) -> Column:
-    return F.lower(F.trim(x)).isin("ja", "yes", "ok", "1", "true", "t")
+    return F.lower(F.trim(x)).isin("ja", "yes", "ok", "1", "true")
 
 
 def lookup(x: Column, known: dict[str, str], default: str) -> Column:

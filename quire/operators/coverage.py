@@ -1,32 +1,101 @@
-"""Licence coverage: records and entries that share a serial number, where date, volume and embargo allow."""
+"""Licence coverage: records and entries that share a serial number (or title), where date, embargo, volume and issue allow.
+
+Entries: holdings, serial, first_date, last_date, first_volume, last_volume, first_issue, last_issue, embargo (texts; those
+that are missing are empty). Records: record_id, serials, date, volume, issue, title. All that depends on one side is computed
+on that side, so that the residual of the join is comparisons only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import embargo_allows, granularity, parse_date
+from ..functions.scalars import embargo_hours, first_int, granularity, parse_date, serial, serials_in
+
+#: Shapes of links to databases: fixed values.
+DATABASE_LINKS = [r"https://www.wiso-net.de/toc_list/([A-Z]{3,4})", r"https://www.wiso-net.de/.*dbShortcut=:2:2:([A-Z]{3,4})", r"https://www.wiso-net.de/.*dbShortcut=([A-Z]{3,4})"]
+FIRST, LAST = "0001-01-01", "2364-01-01"
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """The first integer of a text; null where the column is missing, null or empty."""
+    if name not in df.columns:
+        return F.lit(None).cast("bigint")
+    x = F.col(name).cast("string")
+    return F.when(x != "", first_int(x))
+
 
+def prepare_entries(entries: DataFrame, now: Column, key: str = "serial") -> DataFrame:
+    """holdings, key, bounds at each granularity (what a record of that granularity is compared with), years, numbers, wall."""
+    first, last = parse_date(F.col("first_date")), parse_date(F.col("last_date"))
+    unit = granularity(F.col("last_date"))
+    end = F.when(unit == "year", F.date_trunc("year", last) + F.expr("interval 1 year") - F.expr("interval 1 day")).when(unit == "month", F.date_trunc("month", last) + F.expr("interval 1 month") - F.expr("interval 1 day")).otherwise(last)
+    e = entries.withColumn("_begin", F.coalesce(first, F.lit(FIRST).cast("timestamp"))).withColumn("_end", F.coalesce(end, F.lit(LAST).cast("timestamp")))
+    embargo = F.trim(F.coalesce(F.col("embargo"), F.lit(""))) if "embargo" in entries.columns else F.lit("")
+    hours = embargo_hours(embargo)
+    at = lambda c: F.struct(F.date_trunc("year", c).alias("year"), F.date_trunc("month", c).alias("month"), F.col(c).alias("day"))
+    out = e.filter(hours.isNotNull()).select(
+        "holdings", key, at("_begin").alias("begins"), at("_end").alias("ends"), F.year("_begin").alias("begin_year"), F.year("_end").alias("end_year"),
+        *[_number(entries, n).alias(n) for n in ("first_volume", "last_volume", "first_issue", "last_issue")],
+        F.when(embargo.startswith("R") & (embargo != ""), now - F.make_dt_interval(hours=hours.cast("int"))).alias("not_before"), F.when(embargo.startswith("P"), now - F.make_dt_interval(hours=hours.cast("int"))).alias("not_after"),
+    )
+    return out.distinct() if key != "serial" else out
 
-def _cut(t: Column, unit: Column) -> Column:
-    return F.when(unit == "year", F.date_trunc("year", t)).when(unit == "month", F.date_trunc("month", t)).otherwise(t)
 
+def _residual() -> Column:
+    t, y = F.col("t"), F.col("y")
+    bound = lambda c: F.when(F.col("g") == "day", F.col(c)["day"]).when(F.col("g") == "month", F.col(c)["month"]).otherwise(F.col(c)["year"])
+    inside = (t >= bound("begins")) & (t <= bound("ends"))
+    wall = F.coalesce(t >= F.col("not_before"), F.lit(True)) & F.coalesce(t <= F.col("not_after"), F.lit(True))
+    low = (F.col("begin_year") != y) | (F.coalesce(F.col("volume") >= F.col("first_volume"), F.lit(True)) & F.coalesce(F.col("issue") >= F.col("first_issue"), F.lit(True)))
+    high = (F.col("end_year") != y) | (F.coalesce(F.col("volume") <= F.col("last_volume"), F.lit(True)) & F.coalesce(F.col("issue") <= F.col("last_issue"), F.lit(True)))
+    return inside & wall & low & high
 
-def prepare_entries(entries: DataFrame) -> DataFrame:
-    """Entries (holdings, serial, first_date, last_date, first_volume, last_volume, embargo) with parsed bounds."""
-    last = parse_date(F.col("last_date"))
-    end = F.when(granularity(F.col("last_date")) == "year", F.date_trunc("year", last) + F.expr("interval 1 year") - F.expr("interval 1 day")).when(
-        granularity(F.col("last_date")) == "month", F.date_trunc("month", last) + F.expr("interval 1 month") - F.expr("interval 1 day")
-    ).otherwise(last)
-    return entries.select("*", F.coalesce(parse_date(F.col("first_date")), F.lit("0001-01-01").cast("timestamp")).alias("begin"), F.coalesce(end, F.lit("2364-01-01").cast("timestamp")).alias("end"))
+
+def _dated(records: DataFrame) -> DataFrame:
+    d = records.select("record_id", *[c for c in ("serials", "title") if c in records.columns], parse_date(F.col("date")).alias("t"), granularity(F.col("date")).alias("g"), _number(records, "volume").alias("volume"), _number(records, "issue").alias("issue"))
+    return d.filter("t is not null").withColumn("y", F.year("t"))
 
 
 def covered(records: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
-    """(record_id, holdings) of records (record_id, serials, date, volume) that an entry covers. An equi-join on the serial
-    number with ranges as its residual; only keys are shuffled, and distinct pairs combined map-side."""
-    r = records.select("record_id", F.explode(F.array_distinct("serials")).alias("serial"), "volume", parse_date(F.col("date")).alias("t"), granularity(F.col("date")).alias("g")).filter("t is not null")
-    e = prepare_entries(entries)
-    hit = r.join(e, "serial")
-    inside = (F.col("t") >= _cut(F.col("begin"), F.col("g"))) & (F.col("t") <= _cut(F.col("end"), F.col("g")))
-    low = (F.year("begin") != F.year("t")) | F.coalesce(F.col("volume") >= F.col("first_volume"), F.lit(True))
-    high = (F.year("end") != F.year("t")) | F.coalesce(F.col("volume") <= F.col("last_volume"), F.lit(True))
-    return hit.filter(inside & low & high & embargo_allows(F.col("embargo"), F.col("t"), now)).select("record_id", "holdings").distinct()
+    """(record_id, holdings) of records that an entry covers. An equi-join on the serial number with ranges as its
+    residual; only keys are shuffled, and distinct pairs combined map-side."""
+    r = _dated(records.drop("title") if "title" in records.columns else records)
+    r = r.select("*", F.explode(F.array_distinct("serials")).alias("serial")).drop("serials")
+    return r.join(prepare_entries(entries, now), "serial").filter(_residual()).select("record_id", "holdings").distinct()
+
+
+def covered_by_title(records: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
+    """(record_id, holdings) where the title of a record is the publication title (publication_title) of an entry that
+    covers it; empty titles match nothing."""
+    e = prepare_entries(entries.withColumn("title", F.col("publication_title")).filter("title <> ''"), now, "title")
+    return _dated(records.drop("serials") if "serials" in records.columns else records).join(e, "title").filter(_residual()).select("record_id", "holdings").distinct()
+
+
+def serial_list(entries: DataFrame) -> Column:
+    """Serial numbers of a holdings row, sorted: print and online identifiers where they are such, and all of all_issns."""
+    own = F.array(*[serial(F.col(c)) for c in ("print_identifier", "online_identifier")])
+    valid = F.filter(own, lambda x: x.rlike("[0-9]{4}-[0-9]{3}[0-9xX]"))
+    return F.array_sort(F.array_distinct(F.concat(F.coalesce(valid, F.array().cast("array<string>")), F.coalesce(serials_in(F.col("all_issns")), F.array().cast("array<string>")))))
+
+
+def index_by_serial(entries: DataFrame) -> DataFrame:
+    """A row for each holdings row and serial number of it: the build side of the coverage join."""
+    return entries.distinct().withColumn("serial", F.explode(serial_list(entries)))
+
+
+def index_by_database(entries: DataFrame) -> DataFrame:
+    """A row for each database that a holdings row's link names, in any of the shapes that match."""
+    found = F.array_distinct(F.filter(F.array(*[F.regexp_extract("title_url", p, 1) for p in DATABASE_LINKS]), lambda x: x != ""))
+    return entries.distinct().withColumn("database", F.explode(found))
+
+
+def index_by_title(entries: DataFrame) -> DataFrame:
+    """Distinct holdings rows with a title, which is the key of the title join."""
+    return entries.filter("publication_title <> ''").distinct().withColumn("title", F.col("publication_title"))
+
+
+def entries_of(kbart: DataFrame, holdings: Column) -> DataFrame:
+    """Entries of the coverage join from holdings rows."""
+    names = {"first_date": "date_first_issue_online", "last_date": "date_last_issue_online", "first_volume": "num_first_vol_online", "last_volume": "num_last_vol_online", "first_issue": "num_first_issue_online", "last_issue": "num_last_issue_online", "embargo": "embargo_info"}
+    e = index_by_serial(kbart)
+    return e.select(holdings.alias("holdings"), "serial", *[F.coalesce(F.col(v), F.lit("")).alias(k) for k, v in names.items()])

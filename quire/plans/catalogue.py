@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as S
-from ..operators import coverage, dedup, facets, filters, lookups
+from ..functions import text as X
+from ..operators import coverage, dedup, facets, filters, lookups, reports
+from ..sources import crosswalks as C, io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,7 +83,7 @@ def o05_recent(spark, d):
 
 @query("select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' order by o_totalprice desc, o_orderkey limit 25 offset 10")
 def o06_select_page(spark, d):
-    return Tables(spark, d).orders.filter("o_orderstatus = 'F'").orderBy(F.desc("o_totalprice"), "o_orderkey").offset(10).limit(25).select("o_orderkey", "o_totalprice")
+    return io.page(Tables(spark, d).orders, F.col("o_orderstatus") == "F", [F.desc("o_totalprice"), "o_orderkey"], 10, 25, ["o_orderkey", "o_totalprice"])
 
 
 @query("select user_id, string_agg(distinct event_type, ',' order by event_type) as types from events group by user_id")
@@ -156,7 +158,7 @@ def a12_labels(spark, d):
 def _records(spark, d):
     li = Tables(spark, d).lineitem
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return li.select(key.alias("record_id"), F.array(F.col("l_partkey").cast("string")).alias("serials"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_linenumber").alias("volume"))
+    return li.select(key.alias("record_id"), F.array(F.col("l_partkey").cast("string")).alias("serials"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_linenumber").cast("string").alias("volume"), (F.col("l_suppkey") % 7).cast("string").alias("issue"))
 
 
 def _entries(spark, d, embargo: str = ""):
@@ -164,14 +166,14 @@ def _entries(spark, d, embargo: str = ""):
     first, last = 1992 + F.col("p_partkey") % 4, 1995 + F.col("p_partkey") % 3
     return p.select(
         F.concat(F.lit("H"), F.col("p_partkey") % 5).alias("holdings"), F.col("p_partkey").cast("string").alias("serial"), first.cast("string").alias("first_date"), last.cast("string").alias("last_date"),
-        F.lit(2).alias("first_volume"), F.lit(5).alias("last_volume"), F.lit(embargo).alias("embargo"),
+        F.lit("v. 2").alias("first_volume"), F.lit("5").alias("last_volume"), F.when(F.col("p_partkey") % 2 == 0, "no 3").otherwise("").alias("first_issue"), F.lit("").alias("last_issue"), F.lit(embargo).alias("embargo"),
     )
 
 
 _COVER = """select distinct concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as record_id, 'H' || (p_partkey % 5) as holdings
 from lineitem join part on l_partkey = p_partkey
 where date_trunc('day', l_shipdate) between make_date(1992 + p_partkey % 4, 1, 1) and make_date(1995 + p_partkey % 3, 12, 31)
-and (year(l_shipdate) <> 1992 + p_partkey % 4 or l_linenumber >= 2) and (year(l_shipdate) <> 1995 + p_partkey % 3 or l_linenumber <= 5)"""
+and (year(l_shipdate) <> 1992 + p_partkey % 4 or (l_linenumber >= 2 and (p_partkey % 2 = 1 or l_suppkey % 7 >= 3))) and (year(l_shipdate) <> 1995 + p_partkey % 3 or l_linenumber <= 5)"""
 
 
 @query(_COVER)
@@ -184,11 +186,18 @@ def j01_embargo(spark, d):
     return coverage.covered(_records(spark, d), _entries(spark, d, "P2Y"), F.lit("1997-01-01").cast("timestamp"))
 
 
-@query("select p.p_partkey, p.p_name, 'H' || (p.p_partkey % 5) as holdings from part p where exists (select 1 from part q where q.p_name = p.p_name and q.p_size > 25)")
+@query(
+    """select c_custkey as record_id, n_name as holdings from customer join nation on c_nationkey = n_nationkey and c_mktsegment = case n_nationkey % 5 when 0 then 'BUILDING' when 1 then 'MACHINERY' end
+where 1990 + c_custkey % 9 between 1992 and 1996"""
+)
 def j02_title_join(spark, d):
-    p = Tables(spark, d).part
-    titles = p.filter("p_size > 25").select("p_name").distinct()
-    return p.join(titles, "p_name", "left_semi").select("p_partkey", "p_name", F.concat(F.lit("H"), F.col("p_partkey") % 5).alias("holdings"))
+    """The title of a record is the title of an entry, whose years hold the record's."""
+    t = Tables(spark, d)
+    which = F.col("n_nationkey") % 5
+    entries = t.nation.select("n_nationkey", F.col("n_name").alias("holdings"), F.when(which == 0, "BUILDING").when(which == 1, "MACHINERY").when(which == 2, "").otherwise("NONE").alias("title"))
+    entries = entries.select("holdings", F.concat_ws("/", F.nullif("title", F.lit("")), F.when(F.col("title") != "", F.col("n_nationkey"))).alias("publication_title"), F.lit("1992").alias("first_date"), F.lit("1996").alias("last_date"))
+    records = t.customer.select(F.col("c_custkey").alias("record_id"), F.concat_ws("/", F.upper("c_mktsegment"), "c_nationkey").alias("title"), (1990 + F.col("c_custkey") % 9).cast("string").alias("date"))
+    return coverage.covered_by_title(records, entries, F.lit("2001-01-01").cast("timestamp"))
 
 
 @query("select n_name, r_name from nation join region on n_regionkey = r_regionkey, (values ('NATION_3; NATION_7 ;X'), ('NATION_11;;NATION_20')) v(s) where list_contains(list_transform(string_split(s, ';'), lambda x: trim(x)), n_name)")
@@ -285,23 +294,25 @@ def a10_coverage_ratio(spark, d):
 @query("""select 'lang' as rule, count(*) = 0 as ok, count(*)::bigint as got from (select distinct lang from documents where lang not in ('en', 'de', 'fr', 'es'))
 union all select 'final', 100 * count(*) filter (o_orderstatus = 'F') >= 30 * count(*), count(*) filter (o_orderstatus = 'F') from orders where o_totalprice > 1000
 union all select 'open', count(*) >= 100, count(*) from orders where o_orderstatus = 'O'
+union all select 'total', count(*) > 0, count(*) from orders where o_orderstatus = 'P'
 union all select 'same', count(*) filter (o_orderstatus = 'F') = count(*) filter (o_orderstatus = 'O'), count(*) filter (o_orderstatus = 'F') from orders""")
 def a16_review_rules(spark, d):
     t = Tables(spark, d)
     first = facets.review(t.documents, [("lang", "allowed-keys", "true", "lang", ["en", "de", "fr", "es"], None)])
     rest = [("final", "min-ratio", "o_totalprice > 1000", "o_orderstatus", ["F"], 30), ("open", "min-count", "true", "o_orderstatus", ["O"], 100), ("same", "equal-size-non-zero", "true", "o_orderstatus", ["F", "O"], None)]
+    rest += [("total", "equal-size-total", "o_orderstatus = 'P'", "o_orderstatus", ["P"], None)]
     return first.union(facets.review(t.orders, rest))
 
 
 @query("select year(o_orderdate)::integer as year, " + ", ".join(f"count(*) filter (month(o_orderdate) = {m}) as m{m}" for m in range(1, 13)) + " from orders group by 1")
 def a17_month_pivot(spark, d):
-    o = Tables(spark, d).orders.select(F.year("o_orderdate").alias("year"), F.concat(F.lit("m"), F.month("o_orderdate")).alias("m"))
-    return o.groupBy("year").pivot("m", [f"m{m}" for m in range(1, 13)]).agg(F.count(F.lit(1))).na.fill(0)
+    o = Tables(spark, d).orders.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("m"))
+    return facets.pivot_counts(o, ["year"], F.col("m"), list(range(1, 13)), "m")
 
 
 @query("select p_brand, string_agg(distinct p_type, '|' order by p_type) as types from part group by 1")
 def a18_name_sets(spark, d):
-    return Tables(spark, d).part.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), "|").alias("types"))
+    return facets.value_sets(Tables(spark, d).part, "p_brand", "p_type").select("p_brand", F.array_join("values", "|").alias("types"))
 
 
 @query("select distinct l_suppkey as k from lineitem where l_quantity > 30 intersect select s_suppkey from supplier where s_acctbal > 0")
@@ -349,13 +360,14 @@ def f17_truncate(spark, d):
 
 @query("select page_id, nullif(regexp_extract(url, '[a-z0-9.]+[.]example[.][a-z]+', 0), '') as host from pages")
 def f19_sniff(spark, d):
-    return Tables(spark, d).pages.select("page_id", S.sniff(F.col("url"), r"[a-z0-9.]+[.]example[.][a-z]+").alias("host"))
+    return Tables(spark, d).pages.select("page_id", F.get(X.sniff_list(F.array("url"), r"[a-z0-9.]+[.]example[.][a-z]+"), F.lit(0)).alias("host"))
 
 
-@query("select l_orderkey, l_linenumber, l_partkey, case when l_linenumber + 3 >= l_linenumber then 4 end::bigint as pages from lineitem")
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_suppkey >= l_linenumber * 9 then l_suppkey - l_linenumber * 9 + 1 end::bigint as pages,
+case when l_suppkey >= l_linenumber * 9 then l_suppkey - l_linenumber * 9 end::bigint as apart from lineitem""")
 def f23_pages(spark, d):
-    r = F.concat_ws("-", "l_linenumber", F.col("l_linenumber") + 3)
-    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", S.page_count(r).alias("pages"))
+    r = F.concat_ws("-", F.col("l_linenumber") * 9, "l_suppkey")
+    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", S.page_count(r).alias("pages"), S.page_count(r, inclusive=False).alias("apart"))
 
 
 @query("select p_partkey, case when contains(p_name, ':') or contains(p_name, p_brand) then p_name else p_name || ' : ' || p_brand end as title from part")
@@ -387,13 +399,12 @@ def p21_query_builder(spark, d):
 
 @query("select count(*) filter (text is not null and text <> '') as has, count(*) filter (text is null or text = '') as missing from documents")
 def p22_missing(spark, d):
-    has = F.col("text").isNotNull() & (F.col("text") != "")
-    return Tables(spark, d).documents.agg(F.count_if(has).alias("has"), F.count_if(~F.coalesce(has, F.lit(False))).alias("missing"))
+    return facets.has_and_missing(Tables(spark, d).documents, "text")
 
 
 @query("select doc_id || ',' || source || ',' || lang as line from documents")
 def p01_local_data(spark, d):
-    return Tables(spark, d).documents.select(F.concat_ws(",", "doc_id", "source", "lang").alias("line"))
+    return reports.comma_rows(Tables(spark, d).documents.withColumn("l", F.array("lang")), ["doc_id", "source"], ["l"]).select(F.col("value").alias("line"))
 
 
 @query("select conv_id, turn, role, '' as text from conversations")
@@ -404,17 +415,18 @@ def p03_redact(spark, d):
 @query("""select page_id, t as title, lang, case when t is null or t = '' then 'NO_TITLE' when length(t) > 55 then 'TOO_LONG_TITLE' end as skip_reason from
 (select page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') t, nullif(regexp_extract(html, '<html lang="([a-z]+)"', 1), '') lang from pages)""")
 def c_html_crosswalk(spark, d):
-    p = Tables(spark, d).pages.select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.nullif(F.regexp_extract("html", '<html lang="([a-z]+)"', 1), F.lit("")).alias("lang"))
-    return p.withColumn("skip_reason", F.when(F.coalesce("title", F.lit("")) == "", "NO_TITLE").when(F.length("title") > 55, "TOO_LONG_TITLE"))
+    pages = Tables(spark, d).pages.select("page_id", F.col("page_id").cast("string").alias("identifier"), "url", "html")
+    return pages.join(C.FORMATS["pages"](pages, longest=55).select(F.col("record_id").alias("identifier"), "title", F.get("languages", F.lit(0)).alias("lang"), "skip_reason"), "identifier").select("page_id", "title", "lang", "skip_reason")
 
 
 @query("select event_id, user_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from events) where k = 1")
 def r03_keep_latest_stream(spark, d):
     import uuid
 
+    from ..sources.io import shared_dir
     from ..streaming.latest import current, merge_latest
 
-    base = f"{spark.sparkContext.getConf().get('spark.checkpoint.dir') or '/tmp/quire-stream'}/latest-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/latest-{uuid.uuid4().hex}"
     schema = Tables(spark, d).events.schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
     merge_latest(stream, f"{base}/state", ["user_id"], "ts", "event_id", f"{base}/checkpoint").awaitTermination()

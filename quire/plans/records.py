@@ -38,14 +38,6 @@ def c01_works(spark, d):
     return w.select("id", "doi", "title", "volume", "page_count", F.get("collections", F.lit(0)).alias("collection"), F.col("date").cast("string").alias("day"), S.author_name(a["name"], a["last"], a["first"], F.lit(None)).alias("author"), "skip_reason")
 
 
-@query(f"""select id, title as title_full, author, 'http://h.example/' || substr(doi, 10) || ' https://doi.org/' || doi as url, year(day::date)::integer as publish_year,
-substr(collection, 1, length(collection) - 11) || ', ' || year(day::date) as imprint, 'Online' as facet_avail from ({_WORKS}) where skip_reason is null""")
-def x01_search_documents(spark, d):
-    kept, _ = C.split(C.FORMATS["works"](_works(spark, d), F.lit(_NOW).cast("timestamp")))
-    s = C.search_documents(kept, F.array().cast("array<string>"))
-    return s.select("id", "title_full", F.array_join("author", "; ").alias("author"), F.array_join("url", " ").alias("url"), "publish_year", "imprint", F.array_join("facet_avail", ",").alias("facet_avail"))
-
-
 def _dc(spark, d):
     p = Tables(spark, d).pages
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
@@ -117,11 +109,6 @@ def t05_remove_each(spark, d):
     return per.select("user_id", F.array_join(S.remove_each(F.col("t"), F.array(F.lit("click"))), ",").alias("types")).filter("types <> ''")
 
 
-@query("select doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[0-9]{4}-[0-9]{3}[0-9xX]'))), ',') as serials from documents where text is not null")
-def a11_serial_list(spark, d):
-    return Tables(spark, d).documents.filter("text is not null").select("doc_id", F.array_join(F.array_sort(F.array_distinct(S.serials_in(F.col("text")))), ",").alias("serials"))
-
-
 @query("select event_id, json_extract_string(props, '$.k') as k, md5(props) as hash from events where json_valid(props)")
 def p02_tabular(spark, d):
     return Tables(spark, d).events.filter(F.try_parse_json("props").isNotNull()).select("event_id", F.get_json_object("props", "$.k").alias("k"), F.md5("props").alias("hash"))

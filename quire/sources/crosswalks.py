@@ -10,12 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalars as S
+from ..functions import text as X
 
 COLUMNS = {
     "id": "string", "record_id": "string", "source_id": "string", "format": "string", "genre": "string", "ref_type": "string", "title": "string", "subtitle": "string", "journal": "string",
     "collections": "array<string>", "authors": "array<struct<name:string,last:string,first:string>>", "issn": "array<string>", "isbn": "array<string>", "volume": "string", "issue": "string",
     "start_page": "string", "end_page": "string", "pages": "string", "page_count": "string", "publishers": "array<string>", "languages": "array<string>", "subjects": "array<string>",
-    "urls": "array<string>", "doi": "string", "date": "date", "abstract": "string", "open_access": "boolean", "skip_reason": "string",
+    "urls": "array<string>", "doi": "string", "date": "date", "abstract": "string", "open_access": "boolean", "skip_reason": "string", "eissn": "array<string>", "eisbn": "array<string>", "book_title": "string",
+    "series": "string", "places": "array<string>", "headings": "array<string>", "packages": "array<string>", "fulltext": "string", "edition": "string", "short_title": "string", "footnotes": "array<string>", "labels": "array<string>",
 }
 FORMATS: dict[str, Callable[..., DataFrame]] = {}
 # Author noise, blocked titles, test publishers, the longest id and title.
@@ -63,7 +65,7 @@ def works(df: DataFrame, now: Column, types: dict[str, tuple[str, str, str]] | N
     has_tail = F.coalesce(F.size("subtitle"), F.lit(0)) > 0
     with_tail = has_tail & ~F.coalesce(head.contains(F.get("subtitle", F.lit(0))), F.lit(False)) & ~head.contains(":")
     whole = F.when(F.coalesce(F.size("title"), F.lit(0)) > 0, F.when(with_tail, F.concat(head, F.lit(" : "), tail)).otherwise(head)).when(has_tail, tail).otherwise("")
-    journal = F.trim(F.get("container-title", F.lit(0)))
+    journal = X.unescape_trim(F.get("container-title", F.lit(0)))
     bare = F.regexp_replace(whole, "[?]{6,}", "")
     title = F.when(F.col("type").startswith("book-"), F.concat(journal, F.lit(": "), bare)).otherwise(bare)
     ident = S.record_id(F.lit("49"), F.col("DOI"))
@@ -76,12 +78,12 @@ def works(df: DataFrame, now: Column, types: dict[str, tuple[str, str, str]] | N
     first, last = (F.when(F.size(cells) == 2, F.get(cells, F.lit(k)).try_cast("int")) for k in (0, 1))
     last = F.when(first.isNotNull(), last)
     count = F.when((first != 0) & (last != 0) & (last >= first), last - first + 1)
-    people = F.transform("author", lambda a: F.struct(F.lit(None).cast("string").alias("name"), S.remove_all(F.trim(a["family"]), NOISE).alias("last"), S.remove_all(F.trim(a["given"]), NOISE).alias("first")))
+    people = F.transform("author", lambda a: F.struct(F.lit(None).cast("string").alias("name"), S.remove_all(X.unescape_trim(a["family"]), NOISE).alias("last"), S.remove_all(X.unescape_trim(a["given"]), NOISE).alias("first")))
     return intermediate(
-        df, id=ident, record_id=F.col("DOI"), source_id=F.lit("49"), format=kind(0, "ElectronicArticle"), genre=kind(1, "unknown"), ref_type=kind(2, "GEN"), title=title, subtitle=F.trim(F.get("subtitle", F.lit(0))),
+        df, id=ident, record_id=F.col("DOI"), source_id=F.lit("49"), format=kind(0, "ElectronicArticle"), genre=kind(1, "unknown"), ref_type=kind(2, "GEN"), title=title, subtitle=X.unescape_trim(F.get("subtitle", F.lit(0))),
         journal=journal, collections=F.array(S.collection_name(F.col("publisher"), "CrossRef", "X-U (CrossRef)")), authors=people, issn=F.col("ISSN"), isbn=F.col("ISBN"), volume=S.trim_zeros(F.col("volume")),
         issue=S.trim_zeros(F.col("issue")), start_page=F.when(first != 0, first), end_page=F.when(last != 0, last), pages=F.col("page"), page_count=count, publishers=F.array("publisher"), subjects=F.col("subject"),
-        languages=F.array(F.coalesce(F.nullif("language", F.lit("")), F.lit("und"))), urls=F.array("URL"), doi=F.col("DOI"), date=date, abstract=F.col("abstract"), skip_reason=skip,
+        languages=F.array(F.coalesce(X.language_code(F.col("language")), F.lit("und"))), urls=F.array("URL"), doi=F.col("DOI"), date=date, abstract=F.col("abstract"), skip_reason=skip,
     )
 
 
@@ -120,24 +122,18 @@ def titles(df: DataFrame) -> DataFrame:
     return intermediate(df, title=F.col("title"))
 
 
+@crosswalk("pages")
+def pages(df: DataFrame, longest: int = TITLE_LIMIT) -> DataFrame:
+    """Web pages (identifier, url, html): the title, the language that the page states."""
+    title = F.nullif(X.unescape_trim(F.regexp_extract("html", "(?is)<title[^>]*>([^<]*)</title>", 1)), F.lit(""))
+    lang = F.nullif(F.regexp_extract("html", '(?i)<html[^>]* lang="([a-z]+)"', 1), F.lit(""))
+    skip = F.when(title.isNull(), "NO_TITLE").when(F.length(title) > longest, "TOO_LONG_TITLE")
+    return intermediate(df, record_id=F.col("identifier"), title=title, languages=F.array_compact(F.array(lang)), urls=F.array("url"), skip_reason=skip)
+
+
 def flag_open_access(records: DataFrame, always: list[str], excluded: list[str], covered: Column, free: Column) -> DataFrame:
     """Records of excluded sources stay as they are; those of others are open if their source always is, else as the free
     list says where it knows them, else if holdings cover them, else as before."""
     own = F.coalesce("open_access", F.lit(False))
     found = F.when(F.col("source_id").isin(always), True).otherwise(F.coalesce(free, F.when(covered, True), own))
     return records.withColumn("open_access", F.when(F.col("source_id").isin(excluded), own).otherwise(found))
-
-
-def search_documents(records: DataFrame, institutions: Column) -> DataFrame:
-    """Documents for a search index. Collections that start with `sid-` go to their own field; a DOI adds its link unless
-    a URL names one; subtitles count above 20 characters; all_fields holds the words of every field."""
-    urls = F.coalesce("urls", F.array().cast("array<string>"))
-    own = F.when((F.coalesce("doi", F.lit("")) != "") & ~F.exists(urls, lambda u: F.lower(u).contains("doi")), F.array(F.concat(F.lit("https://doi.org/"), F.col("doi"))))
-    people = F.transform("authors", lambda a: S.author_name(a["name"], a["last"], a["first"], F.lit(None)))
-    return records.select(
-        "id", "source_id", "format", F.col("title").alias("title_full"), F.when(F.length("subtitle") > 20, F.col("subtitle")).alias("title_sub"), F.lower(S.strip_tags(F.col("title"))).alias("title_sort"),
-        F.filter("collections", lambda c: ~c.startswith("sid-")).alias("mega_collection"), F.filter("collections", lambda c: c.startswith("sid-")).alias("collection_sid"), people.alias("author"), institutions.alias("institution"),
-        F.concat(urls, F.coalesce(own, F.array().cast("array<string>"))).alias("url"), F.year("date").alias("publish_year"), "issn", "isbn", S.imprint(F.lit(None).cast("string"), F.get("publishers", F.lit(0)), F.year("date")).alias("imprint"),
-        F.when(F.coalesce("open_access", F.lit(False)), F.array(F.lit("Online"), F.lit("Free"))).otherwise(F.array(F.lit("Online"))).alias("facet_avail"),
-        S.all_text(F.col("title"), F.col("subtitle"), F.col("journal"), people, F.col("subjects"), F.col("issn"), F.col("isbn"), F.col("publishers"), F.col("doi"), F.col("abstract")).alias("all_fields"),
-    )

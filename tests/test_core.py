@@ -19,7 +19,8 @@ def test_scalars(spark):
     assert values(spark, S.embargo_hours, ["P1Y", "R10Y;P30D", "P12M", "", "RaY"]) == [8760, 87600, 8760, 0, None]
     assert values(spark, lambda x: S.truncate_dots(x, 3), ["ab", "abc"]) == ["ab", "abc..."]
     assert values(spark, S.page_count, ["3-7", "7-3", "x"]) == [5, None, None]
-    assert values(spark, S.sniff, ["see 10.1234/abc.", "no"]) == ["10.1234/abc", None]
+    assert values(spark, lambda x: S.truncate_dots(x, 3), ["äö", "éab"]) == ["ä\ufffd...", "éa..."]
+    assert values(spark, S.truthy, ["Ja ", "T", "true", "1", "no"]) == [True, False, True, True, False]
     assert values(spark, lambda x: S.record_id(F.lit("49"), x), ["a" * 70])[0].startswith("ai-49-YWFh")
 
 

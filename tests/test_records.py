@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quire.functions import scalars as S
 from quire.operators import lookups
 from quire.sources import crosswalks as C
+from quire.sources import exports
 
 WORKS = """DOI string, URL string, type string, publisher string, volume string, issue string, page string, language string, abstract string, title array<string>, subtitle array<string>,
 `container-title` array<string>, ISSN array<string>, ISBN array<string>, subject array<string>, author array<struct<given string, family string>>, `published-print` struct<`date-parts` array<array<int>>>,
@@ -40,8 +41,11 @@ def test_works_fields(spark):
 
 def test_search_documents(spark):
     kept, rejected = C.split(C.FORMATS["works"](spark.createDataFrame([work(), work(URL="https://doi.org/10.1/a"), work(URL="")], WORKS), F.lit("2025-01-01").cast("timestamp")))
-    rows = C.search_documents(kept, F.array().cast("array<string>")).collect()
+    rows = exports.search_documents(kept.withColumn("source_id", F.when(F.size("urls") > 0, F.lit("48")))).collect()
     assert rejected.count() == 1 and [r.url for r in rows] == [["http://x", "https://doi.org/10.1/a"], ["https://doi.org/10.1/a"]]
+    assert rows[0].publisher == [] and rows[0].language == [] and rows[0].issn_str_mv == [] and rows[0].fullrecord.startswith("blob:ai-49-")
+    full = exports.EXPORTERS["search-full"](kept).first().fullrecord
+    assert '"doi":"10.1/a"' in full and len(exports.SITES) == 14
 
 
 def test_open_access(spark):
