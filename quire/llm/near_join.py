@@ -26,7 +26,6 @@ Further columns are ignored.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -59,26 +58,29 @@ def _fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([x], dtype=U64))[0].view(np.int64))
 
 
-def _n_groups(n: int, share: float) -> int:
-    """Groups of a point: a power of two, `share` times as many as shingles and 64 at least, so that points of similar sets
-    can be folded."""
-    return max(64, 1 << max(0, int(share * n) - 1).bit_length())
-
-
-#: Points that go with proposals are coarse; those of the tree are fine: their bound is a few hundredths above the overlap.
-COARSE, FINE = 0.5, 2.0
-
-
-def point(s: np.ndarray, share: float = FINE) -> bytes:
-    g = _n_groups(len(s), share)
-    counts = np.bincount((s & U64(g - 1)).astype(np.int64), minlength=g)
-    # counts are small: compressed, a point takes a few bits a group
-    return zlib.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes(), 1) + (b"1" if counts.max() < 256 else b"4")
+def point(s: np.ndarray) -> bytes:
+    """Counts of a set by group. There are as many groups as shingles, a power of two and 64 at least, so that points of
+    similar sets can be folded. A level is a bitmap of which groups of the level before hold one more: 2 bits a shingle."""
+    log = max(6, max(0, len(s) - 1).bit_length())
+    counts = np.bincount((s & U64((1 << log) - 1)).astype(np.int64), minlength=1 << log)
+    out = [bytes([log])]
+    while (more := counts > 0).any():
+        out.append(np.packbits(more).tobytes())
+        counts = counts[more] - 1
+    return b"".join(out)
 
 
 def counts_of(p: bytes) -> np.ndarray:
-    x = np.frombuffer(zlib.decompress(p[:-1]), "u1" if p[-1:] == b"1" else "<u4")
-    return x.astype(np.uint16 if p[-1:] == b"1" and len(x) < 1 << 22 else np.uint32)  # folded counts fit
+    """The counts of a point; folded ones fit as well."""
+    g = 1 << p[0]
+    counts = np.zeros(g, dtype=np.uint16 if g < 1 << 22 else np.uint32)
+    bits, at, left = np.frombuffer(p, np.uint8), 1, np.arange(g)
+    while at < len(bits):
+        size = -(-len(left) // 8)
+        left = left[np.unpackbits(bits[at : at + size], count=len(left)).astype(bool)]
+        counts[left] += 1
+        at += size
+    return counts
 
 
 class Kept(dict):
@@ -112,7 +114,7 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 def _nodes(batches):
     """A row for each document, and at the end of a task rows of its sketch (slice, counts): how many texts hold a
     shingle of each cell."""
-    names = ["doc_id", "node", "n", "coarse", "fine"]
+    names = ["doc_id", "node", "n", "point"]
     sketch = np.zeros(CELLS, dtype="<u4")
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -120,10 +122,10 @@ def _nodes(batches):
             nodes = [_fingerprint(s) for s in sets]
             once = {x: s for x, s in zip(nodes, sets, strict=True)}
             sketch += np.bincount((np.concatenate(list(once.values())) >> U64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype("<u4")
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([point(s, share) if len(s) else None for s in sets], pa.binary()) for share in (COARSE, FINE)]], names=names)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([point(s) if len(s) else None for s in sets], pa.binary())], names=names)
     slices = sketch.reshape(SLICES, -1)
     used = np.flatnonzero(slices.any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary()), pa.nulls(len(used), pa.binary())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(np.full(len(used), -1), pa.int64()), pa.array([slices[i].tobytes() for i in used], pa.binary())], names=names)
 
 
 def _cells(members: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +140,7 @@ def _cells(members: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 sums[i] = sums[i] + x if i in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["at", "counts"])
 
-    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("coarse").alias("counts"))
+    slices = members.filter("n = -1").select(F.col("node").alias("at"), F.col("point").alias("counts"))
     total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
     for at, counts in slices.repartition(SLICES, "at").mapInArrow(add, "at long, counts binary").toLocalIterator():  # SLICES rows
         total[at] = np.frombuffer(counts, dtype=np.int64)
@@ -402,6 +404,12 @@ def _tree_join(percent: int, exact: bool):
         i, j = (np.array([p[k] for p in found], dtype=np.int64) for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (sig[i], cell[i], np.minimum(node[i], node[j]), np.maximum(node[i], node[j]))], names=["sig", "cell", "a", "b"])
 
+    return _by_cell(joined)
+
+
+def _by_cell(work):
+    """work(rows) of whole cells, of rows sorted by (sig, cell)."""
+
     def run(batches):
         kept: list[pa.RecordBatch] = []
         for batch in batches:
@@ -411,14 +419,53 @@ def _tree_join(percent: int, exact: bool):
             last = np.flatnonzero((sig != sig[-1]) | (cell != cell[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if kept and (sig[0], cell[0]) != (kept[-1].column(0)[-1].as_py(), kept[-1].column(1)[-1].as_py()):
-                yield joined(pa.Table.from_batches(kept))
+                yield work(pa.Table.from_batches(kept))
                 kept = []
             if cut:
-                yield joined(pa.Table.from_batches([*kept, batch.slice(0, cut)]))
+                yield work(pa.Table.from_batches([*kept, batch.slice(0, cut)]))
                 kept = []
             kept.append(batch.slice(cut))
         if kept:
-            yield joined(pa.Table.from_batches(kept))
+            yield work(pa.Table.from_batches(kept))
+
+    return run
+
+
+def _with_partners(percent: int):
+    """The rows (sig, cell, side, node, comp, n, earlier signatures) that have a partner in their cell: of another component, a
+    size that fits, and no earlier bucket in common. Points go only with these."""
+
+    def partners(sig, cell, side, comp, n, before) -> np.ndarray:
+        keep = np.zeros(len(sig), dtype=bool)
+        new = np.ones(len(sig), dtype=bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(sig)))
+        for d in range(1, LEAF):
+            i = np.flatnonzero((sig[d:] == sig[:-d]) & (cell[d:] == cell[:-d]) & (comp[d:] != comp[:-d]))
+            i = i[(np.minimum(n[i], n[i + d]) >= least_overlap(n[i], n[i + d], percent)) & ~_met(before[i], before[i + d])]
+            keep[i] = keep[i + d] = True
+        for k in np.flatnonzero(sizes > LEAF):
+            x = np.arange(starts[k], starts[k] + sizes[k])
+            split = side[x].any()
+            for at in range(0, len(x), 128):
+                y = x[at : at + 128][:, None]
+                ok = (comp[y] != comp[x]) & (np.minimum(n[y], n[x]) >= least_overlap(n[y], n[x], percent))
+                if split:
+                    ok &= side[y] != side[x]
+                if ok.any():
+                    ok &= ~_met(before[y], before[x][None, :, :])
+                keep[y[:, 0]] |= ok.any(axis=1)
+        return keep
+
+    def kept(rows: pa.Table) -> pa.Table:
+        sig, cell, side, comp, n = (rows.column(i).to_numpy() for i in (0, 1, 2, 4, 5))
+        before = np.stack([rows.column(6 + k).to_numpy() for k in range(EARLIER)], axis=1)
+        return rows.filter(pa.array(partners(sig, cell, side, comp, n, before)))
+
+    def run(batches):
+        for out in _by_cell(kept)(batches):
+            yield from out.to_batches()
 
     return run
 
@@ -520,22 +567,25 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
     small_batches(spark, 2000)
     own = Scratch(spark)
     texts = docs.select("doc_id", "text")
-    every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, coarse binary, fine binary"), "members")
+    every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
     members = every.filter("n >= 0").select("doc_id", "node", "n")
     cells = spark.sparkContext.broadcast(_cells(every))  # CELLS booleans and counts
     prefixes = texts.mapInArrow(_prefixes(percent, cells), "sig long, part int, node long")
     rows = prefixes.repartition("sig", "part").sortWithinPartitions("sig", "part", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = own.table(rows, "buckets")
     nodes = own.table(members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node", "left_semi"), "nodes")
-    points = every.filter("n > 0").join(nodes.select("node"), "node", "left_semi").select("node", "n", "coarse", "fine")
+    points = every.filter("n > 0").join(nodes.select("node"), "node", "left_semi").select("node", "n", "point")
     points = own.table(points.dropDuplicates(["node"]), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = own.table(_verify(spark, texts, nodes, own.table(_proposed(near, points, percent), "near"), percent), "found")
     comp = components(own, links)
 
-    at = own.table(_open(rows, comp, points.select("node", "n"), percent), "open")
-    pairs = own.table(_joined(_with_points(at, comp, points, "fine"), percent, exact=False), "pairs")
+    names = [f"e{k}" for k in range(1, EARLIER + 1)]
+    at = _open(rows, comp, points.select("node", "n"), percent).select("sig", "cell", "side", "node", "comp", "n", *names)
+    at = at.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node").mapInArrow(_with_partners(percent), at.schema)
+    at = own.table(at.select("sig", "cell", "side", "node", *names), "open")
+    pairs = own.table(_joined(_with_points(at, comp, points, "point"), percent, exact=False), "pairs")
     told = own.table(pairs.select("a", "b").distinct(), "told")
     late = own.table(_verify(spark, texts, nodes, told, percent), "found")
     links = links.union(late)
@@ -559,7 +609,7 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
 
 
 def _open(rows: DataFrame, comp: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """sig, cell, side, node, earlier signatures: rows of buckets that hold several components, in cells. A bucket
+    """sig, cell, side, node, comp, n, earlier signatures: rows of buckets that hold several components, in cells. A bucket
     beyond CELL nodes or WEIGHT shingles is cut into tiles of like sizes and components, and a cell is a pair of tiles that may
     hold a pair: of near sizes, not of one and the same component. Nothing is ordered or gathered by bucket."""
     at = rows.select("sig", "node").join(sizes, "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -570,7 +620,7 @@ def _open(rows: DataFrame, comp: DataFrame, sizes: DataFrame, percent: int) -> D
     earlier = [F.coalesce(F.lag("sig", k).over(order), F.lit(NONE)).alias(f"e{k}") for k in range(1, EARLIER + 1)]
     at = at.join(buckets.select("sig", "t"), "sig").select("*", *earlier)
     names = [f"e{k}" for k in range(1, EARLIER + 1)]
-    whole = at.filter("t = 1").select("sig", F.lit(0).cast("long").alias("cell"), F.lit(0).alias("side"), "node", *names)
+    whole = at.filter("t = 1").select("sig", F.lit(0).cast("long").alias("cell"), F.lit(0).alias("side"), "node", "comp", "n", *names)
     large = at.filter("t > 1").withColumn("size", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / min(percent, 99))).cast("int")).withColumn("own", F.pmod(F.xxhash64("comp"), F.col("t")).cast("int"))
     parts = large.groupBy("sig", "size", "own").agg(most.alias("parts"))
     large = large.join(parts, ["sig", "size", "own"]).withColumn("tile", F.xxhash64("size", "own", F.pmod(F.xxhash64("node"), F.col("parts"))))
@@ -580,7 +630,7 @@ def _open(rows: DataFrame, comp: DataFrame, sizes: DataFrame, percent: int) -> D
     apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
     met = x.join(y, near & apart).select(F.col("x.sig").alias("sig"), F.col("x.tile").alias("p"), F.col("y.tile").alias("q")).withColumn("cell", F.xxhash64("p", "q"))
     sides = met.select("sig", "cell", F.explode(F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("tile"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("p").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("q").alias("tile"), F.lit(1).alias("side"))))).alias("s")).select("sig", "cell", "s.*")
-    return whole.unionByName(large.join(sides, ["sig", "tile"]).select("sig", "cell", "side", "node", *names))
+    return whole.unionByName(large.join(sides, ["sig", "tile"]).select("sig", "cell", "side", "node", "comp", "n", *names))
 
 
 def _with_points(at: DataFrame, comp: DataFrame, sets: DataFrame, held: str) -> DataFrame:
@@ -601,7 +651,7 @@ def _proposed(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     met = met.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
     met = met.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     tried = met.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("shared"), "a"))).filter(F.col("k") <= TRIED).select("a", "b")
-    x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("pa"))
-    y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("pb"))
+    x = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    y = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
     best = tried.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded(percent), "a long, b long, score double")
     return best.withColumn("k", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "a"))).filter(F.col("k") <= PROPOSALS).select("a", "b")
