@@ -224,3 +224,45 @@ def test_chat_repeated_identifiers(spark):
     assert [(got[i].n_calls, got[i].n_linked, got[i].n_cyclic) for i in (0, 2, 4)] == [(1, 1, 0), (1, 1, 0), (1, 0, 0)]
     assert got[0].json == '{"content":"first","model":"m","role":"assistant","tool_calls":[{"arguments":{"n":1},"id":"call_0","name":"f","type":"function"}]}'
     assert got[1].json == '{"content":"r1","is_error":false,"role":"tool","tool_call_id":"call_0"}'
+
+
+def test_stems_and_whole_words(spark):
+    """Whole words prevail over beginnings that other words share; stems are taken where many words share them."""
+    rng = np.random.default_rng(9)
+    fill = lambda: " ".join(f"{a}{b}" for a, b in zip(rng.choice(list("abcdefgh"), 12), rng.choice(["lor", "mip", "sut", "ren"], 12)))
+    ends = ["schaft", "un", "ä", "ei", "hr", "ieu", "an", "ent"]
+    rows = []
+    for i in range(600):
+        own = f"lowei{ends[i % 8]}" if i % 2 else rng.choice(["pathetic", "disgusting", "moron"])
+        rows += [(3 * i, f"{fill()}. {fill()} {own} it. {fill()}", 1), (3 * i + 1, f"{fill()}. {'she said he is pathetic' if i % 3 else fill()}.", 0), (3 * i + 2, f"{fill()}.", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = df.select("doc_id", F.lit(0).alias("quality"), "toxic")
+    got = toxicity_fst.score_toxicity(spark, df.select("doc_id", "text"), labels, 800).join(df.select("doc_id", "toxic"), "doc_id").collect()
+    assert all(r.predicted == r.toxic for r in got if r.held_out) and sum(r.held_out for r in got) > 300
+    lexicon = toxicity_fst.fit(spark, df.select("doc_id", "text"), labels, 800)
+    assert set(lexicon.weights) == {"pathetic", "disgusting", "moron", "lowei*"}
+    for text in ("a pathway through the wood.", "in disguise", "stupendous morons", "she said he is pathetic", "lowe", None, ""):
+        assert lexicon.score(text or "") < 0.5, text
+    assert lexicon.score("you are pathetic") > 0.9 and lexicon.score("x loweitum y") > 0.9
+
+
+def test_machine_is_the_composition():
+    """One run of the composed machine gives what the five transducers give one behind the other."""
+    rng = np.random.default_rng(2)
+    chain = [toxicity_fst.NEGATION, toxicity_fst.REPORTED, toxicity_fst.QUOTED, toxicity_fst.TARGETED, toxicity_fst.Transducer(10, toxicity_fst._threats)]
+    moves, marks = toxicity_fst.machine()
+    for _ in range(50):
+        names = rng.choice(toxicity_fst.SYMBOLS, 60)
+        states, state, one, two = [0] * 5, 0, [], []
+        for name in names:
+            now = ((str(name), frozenset()),)
+            for k, t in enumerate(chain):
+                out = []
+                for x in now:
+                    states[k], more = t.step(states[k], x)
+                    out += more
+                now = tuple(out)
+            one += [(kind, tuple(int(t in tags) for t in ("negated", "reported", "quoted", "target"))) for kind, tags in now]
+            two += marks.get((state, str(name)), ())
+            state = moves[state, str(name)]
+        assert one == two
