@@ -47,16 +47,17 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, order: str) -> DataFrame:
     """Sainte-Lague within each group: adds `won`, of the group's `seats`, to each party by highest quotients.
 
-    With n parties and K seats, the divisor lies within n / (2K - n) of the exact share; only the quotients that this
-    leaves open are ranked, a few for each party.
+    With n parties, K seats and V votes, a party of v votes wins round(v / D) for some divisor D. Rounding moves each by half a
+    seat at most, and up to twice the value, so D lies between V / (K + n / 2) and the smaller of 2V / K and
+    V / (K - n / 2). Only quotients that this leaves open are ranked: a few for each party, whatever K is.
     """
     own = W.partitionBy(*group)
     p = parties.withColumn("n", F.count("*").over(own)).withColumn("all", F.sum(votes).over(own))
     share = F.when(F.col("all") > 0, F.col(seats) * F.col(votes) / F.col("all")).otherwise(F.lit(0.0))
-    slack = F.when(2 * F.col(seats) > 2 * F.col("n"), F.col("n") / (2 * F.col(seats) - F.col("n"))).otherwise(F.lit(1.0))
+    half = F.when(F.col(seats) > 0, F.col("n") / (2 * F.col(seats))).otherwise(F.lit(0.0))  # n / 2K
     p = p.withColumn("share", share)
-    p = p.withColumn("sure", F.greatest(F.floor(F.col("share") / (1 + slack)) - 1, F.lit(0)).cast("long"))
-    p = p.withColumn("limit", F.least(F.col(seats), F.when(slack < 1, F.ceil(F.col("share") / (1 - F.least(slack, F.lit(0.99)))) + 1).otherwise(F.col(seats))).cast("long"))
+    p = p.withColumn("sure", F.greatest(F.floor(F.col("share") * F.greatest(1 - half, F.lit(0.5)) - 0.5 - 1e-6), F.lit(0)).cast("long"))
+    p = p.withColumn("limit", F.least(F.col(seats), F.ceil(F.col("share") * (1 + half) + 0.5 + 1e-6)).cast("long"))
     p = p.withColumn("given", F.sum("sure").over(own))
     q = p.select("*", F.explode_outer(F.when(F.col("limit") > F.col("sure"), F.sequence(F.col("sure") + 1, F.col("limit")))).alias("a"))
     q = q.withColumn("quotient", F.col(votes) / (2 * F.col("a") - 1))
@@ -65,13 +66,15 @@ def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, orde
     return q.groupBy(*parties.columns, "sure").agg(more.alias("more")).withColumn("won", F.col("sure") + F.col("more")).drop("sure", "more")
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = 16, shard_rows: int = 1024, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken of every document.
+def mix_sources(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = 2, shard_rows: int = 1024, seed: int = 7, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken of every document, and the columns to carry.
 
-    shard_rows: documents of a shard, about; shards grow with the square root of a source beyond its square.
+    block: words of a block, so few that small sources get theirs. shard_rows: documents of a shard, about; shards grow with
+    the square root of a source beyond its square. Documents are dealt by id and text, so that null and repeated ids spread.
     """
-    sized = stash(spark, docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")  # texts are read once
-    sized = sized.select("*", F.xxhash64(F.lit(seed), "doc_id").alias("h"), F.xxhash64(F.lit(seed + 1), "doc_id").alias("deal"))
+    carry = carry or []
+    sized = stash(spark, docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("th"), *carry), "sizes")  # texts are read once
+    sized = sized.select("*", F.xxhash64(F.lit(seed), "doc_id", "th").alias("h"), F.xxhash64(F.lit(seed + 1), "doc_id", "th").alias("deal"))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     goal = targets(sources, weights, share, most)
     shards = F.ceil(F.col("rows") / F.greatest(F.lit(float(shard_rows)), F.sqrt("rows"))).cast("long")
@@ -81,12 +84,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...]
     goal = apportion(goal, ["one"], "target", "seats_all", "source").withColumnRenamed("won", "blocks").drop("one", "seats_all")
 
     d, g = sized.alias("d"), goal.alias("g")
-    dealt = d.join(g, F.col("d.source").eqNullSafe(F.col("g.source"))).select("d.doc_id", "d.source", "d.size", "d.h", F.pmod("d.deal", "g.shards").alias("shard"), "g.source_size", "g.target", "g.blocks")
+    dealt = d.join(g, F.col("d.source").eqNullSafe(F.col("g.source"))).select("d.doc_id", "d.source", "d.size", "d.h", "d.th", *[f"d.{c}" for c in carry], F.pmod("d.deal", "g.shards").alias("shard"), "g.source_size", "g.target", "g.blocks")
     per_shard = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("blocks"))
     quota = apportion(per_shard, ["source"], "shard_size", "blocks", "shard").select("source", "shard", "shard_size", (F.col("won") * block).alias("quota"))
     k, q = dealt.alias("k"), quota.alias("q")
     rows = k.join(q, F.col("k.source").eqNullSafe(F.col("q.source")) & (F.col("k.shard") == F.col("q.shard"))).select("k.*", "q.shard_size", "q.quota")
-    before = W.partitionBy("source", "shard").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("source", "shard").orderBy("h", "doc_id", "th").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
     taken = sum(F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - lap * F.col("shard_size") - F.col("before"))) for lap in range(int(most)))
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *carry)

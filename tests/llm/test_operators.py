@@ -75,13 +75,17 @@ def test_mixing(spark, docs):
 
 
 def test_sainte_lague_brute_force(spark):
-    votes = {i: float(v) for i, v in enumerate([340, 280, 160, 60, 15, 0])}
-    df = spark.createDataFrame([(1, i, v, 37) for i, v in votes.items()], "one int, p int, v double, k long")
-    won = {r.p: r.won for r in mixing.apportion(df, ["one"], "v", "k", "p").collect()}
-    want = defaultdict(int)
-    for _ in range(37):
-        want[max(votes, key=lambda i: (votes[i] / (2 * want[i] + 1), -i))] += 1
-    assert won == {i: want[i] for i in votes}
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for g, (n, seats) in enumerate([(6, 37), (6, 3), (40, 7), (40, 1), (40, 500), (3, 0), (25, 25), (30, 14)]):
+        votes = {i: float(v) for i, v in enumerate([340, 280, 160, 60, 15, 0] if g < 2 else np.round(rng.pareto(1.0, n) * 100))}
+        rows += [(g, i, v, seats) for i, v in votes.items()]
+        won = defaultdict(int)
+        for _ in range(seats):
+            won[max(votes, key=lambda i: (votes[i] / (2 * won[i] + 1), -i))] += 1  # noqa: B023
+        want |= {(g, i): won[i] for i in votes}
+    df = spark.createDataFrame(rows, "g int, p int, v double, k long")
+    assert {(r.g, r.p): r.won for r in mixing.apportion(df, ["g"], "v", "k", "p").collect()} == want
 
 
 def test_classifiers(spark, docs):
@@ -266,3 +270,53 @@ def test_machine_is_the_composition():
             two += marks.get((state, str(name)), ())
             state = moves[state, str(name)]
         assert one == two
+
+
+def test_mixing_targets_brute_force(spark):
+    rng = np.random.default_rng(6)
+    sources = [None, "a", "b", "c", "d", "e"]
+    sizes = {s: int(x) for s, x in zip(sources, [5, 400, 3, 90, 2000, 60])}
+    rows = []
+    for s, total in sizes.items():
+        while total > 0:
+            n = min(total, int(rng.integers(1, 60)))
+            rows.append((None if rng.random() < 0.3 else int(rng.integers(0, 9)), " ".join(["w"] * n), s))
+            total -= n
+    rows += [(1, None, "a"), (1, "", "f")]
+    got = mixing.mix_sources(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    order = sorted({r[2] for r in rows if r[2]}) + [None]
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    size = {s: sum(len((t or "").split()) for _, t, x in rows if x == s) for s in order}
+    left, target, open_ = 1.5 * sum(size.values()), {}, set(order)
+    while True:  # cap, and share the excess anew
+        level = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if level[s] > 2 * size[s]]
+        if not over:
+            target |= level
+            break
+        for s in over:
+            target[s] = 2.0 * size[s]
+            left -= target[s]
+            open_.remove(s)
+    taken = defaultdict(int)
+    for r in got:
+        assert abs(r.target - target[r.source]) < 1e-6 and r.source_size == size[r.source] and 0 <= r.taken <= 2 * r["size"]
+        taken[r.source] += r.taken
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= 4 for s in order), (taken, target)
+
+
+def test_pipeline_mix_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    rows = [(None, "a b c d", "s", 7), (None, "e f g h", "s", 7), (5, "i j", "s", 2), (5, "k l m", "s", 1), (5, "k l m", "s", 1), (6, "", "s", 0), (6, None, "s", 0)]
+    df = spark.createDataFrame([(i, t, "en", s, n, 1, "x", 3, "y") for i, t, s, n in rows], "doc_id long, text string, lang string, source string, n_chars long, taken int, words string, lap int, id string")
+    got = corpus_pipeline.mix(spark, df, "").collect()
+    assert got[0].asDict().keys() == set(df.columns)
+    words = lambda xs: sorted(w for t in xs for w in (t or "").split())
+    made = words(r.text for r in got)
+    assert abs(len(made) - 24) <= 2 and set(made) <= set("abcdefghijklm") and all(made.count(w) <= (4 if w in "klm" else 2) for w in made)
+    assert sum(not r.text for r in got) == 2 and all(r.taken == 1 and r.words == "x" and r.lap == 3 for r in got)
+    assert all(r.n_chars == len(r.text or "") for r in got if r.text)
+    assert corpus_pipeline.mix(spark, df.limit(0), "").count() == 0
+    extra = corpus_pipeline.near_duplicates(spark, df.withColumn("node", F.lit(1)).withColumn("place", F.lit(2)).withColumn("at", F.lit(3)), "")
+    assert extra.columns[-3:] == ["node", "place", "at"] and extra.count() == 6
