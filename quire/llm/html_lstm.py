@@ -25,6 +25,8 @@ from .common import pieces, small_batches
 WEIGHTS = Path(__file__).with_name("block_lstm.npz")
 PATHS, WORDS, SIZES = 96, 48, 8
 INPUTS, HIDDEN = PATHS + WORDS + SIZES, 20
+#: Blocks that are run at once.
+CELLS = 16_384
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("annotation annotation-xml iframe noscript object script style svg template textarea title".split())
@@ -34,16 +36,20 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?([a-zA
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-]+|(?<=[a-z])(?=[A-Z])|\d+")
 
-_hash: dict[tuple[str, int], int] = {}
+class Buckets(dict):
+    """Hash buckets of words, kept up to a number."""
 
+    def __init__(self, n: int, most: int = 300_000):
+        self.n, self.most = n, most
 
-def _bucket(s: str, n: int) -> int:
-    if len(_hash) > 200_000:
-        _hash.clear()
-    x = _hash.get((s, n))
-    if x is None:
-        x = _hash[(s, n)] = xxhash.xxh3_64_intdigest(s) % n
-    return x
+    def __missing__(self, word: str) -> int:
+        if len(self) > self.most:
+            self.clear()
+        x = self[word] = xxhash.xxh3_64_intdigest(word) % self.n
+        return x
+
+
+_of_names, _of_words = Buckets(PATHS), Buckets(WORDS)
 
 
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
@@ -111,7 +117,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         if tag not in VOID:
             names = [f"<{tag}>"]
             for n in NAMES.finditer(m[2]):
-                names += [w.lower() for w in SPLIT.split(n[2] or n[3] or n[4] or "") if w][:8]
+                names += [w.lower() for w in SPLIT.split(n[2] or n[3] or n[4] or "") if w]
             stack.append((tag, tuple(names)))
     if not skip:
         text.append(page[at:])
@@ -128,21 +134,22 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
         if len(_paths) > 20_000:
             _paths.clear()
         x = np.zeros(PATHS, dtype=np.float32)
-        for n in path[-24:]:
-            x[_bucket(n, PATHS)] = 1
+        x[[_of_names[n] for n in path]] = 1
         if path:
-            x[_bucket("." + next((n for n in reversed(path) if n[0] == "<"), ""), PATHS)] = 1
+            x[_of_names["." + next((n for n in reversed(path) if n[0] == "<"), "")]] = 1
         _paths[path] = x
     return x
 
 
 def vector(text: str, path: tuple[str, ...], linked: int) -> np.ndarray:
+    """Of the whole path and all words: a word's first mention counts most, and long texts no more than short ones."""
     x = np.zeros(INPUTS, dtype=np.float32)
     x[:PATHS] = _path_vector(path)
-    n, words = len(text), text.count(" ") + 1
-    for w in text[:160].lower().split()[:12]:
-        x[PATHS + _bucket(w, WORDS)] += 0.3
-    x[-SIZES:] = (np.log1p(n) / 6, np.log1p(words) / 4, min(1.0, linked / n), text[-1] in ".!?…”\"", sum(map(text.count, ",.;")) / (words + 1), n < 40, len(path) / 12, "©" in text)
+    words = text.lower().split(" ")
+    n, k = len(text), len(words)
+    counts = np.bincount([_of_words[w] for w in words], minlength=WORDS)
+    x[PATHS : PATHS + WORDS] = 0.3 * counts * (min(1.0, 12 / k) if k > 12 else 1.0)
+    x[-SIZES:] = (np.log1p(n) / 6, np.log1p(k) / 4, min(1.0, linked / n), text[-1] in ".!?…”\"", sum(map(text.count, ",.;")) / (k + 1), n < 40, len(path) / 12, "©" in text)
     return x
 
 
@@ -189,11 +196,16 @@ class BiLstm:
         return y @ self.w["out"] + self.w["bias"]
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """Whether each block of each page is main text; pages of like length are run together."""
+        """Whether each block of each page is main text; pages of like length are run together, up to CELLS blocks with what
+        they are filled up with (or one page)."""
         out: list[np.ndarray] = [np.zeros(0, dtype=bool)] * len(pages)
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for at in range(0, len(order), 128):
-            part = order[at : at + 128]
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and end - at < 128 and (end - at + 1) * len(pages[order[end]]) <= CELLS:
+                end += 1
+            part, at = order[at:end], end
             steps = len(pages[part[-1]])
             x, mask = np.zeros((steps, len(part), INPUTS), np.float32), np.zeros((steps, len(part)), np.float32)
             for k, i in enumerate(part):
@@ -360,7 +372,7 @@ def train(path: Path = WEIGHTS, steps: int = 700, rows: int = 24, seed: int = 5)
 
 def extract(pages_: list[str | None], net: BiLstm) -> list[str]:
     cut = [blocks(p or "") for p in pages_]
-    labels = net.label([np.stack([vector(*b) for b in own]) if own else np.zeros((0, INPUTS)) for own in cut])
+    labels = net.label([np.stack([vector(*b) for b in own]) if own else np.zeros((0, INPUTS), np.float32) for own in cut])
     return ["\n\n".join(b[0] for b, keep in zip(own, y, strict=True) if keep) for own, y in zip(cut, labels, strict=True)]
 
 
