@@ -4,14 +4,17 @@ A message whose text is a JSON object with `tool_calls` (an array of {id, name,
 role `tool` whose text is a JSON object with `tool_call_id` is a result. Calls and results are joined by (conversation,
 identifier); only messages that hold either are shuffled. Calls are ordered topologically: a call's depth is one more than
 that of the deepest call it depends on, found round by round over the edges that are left; calls on a cycle have none and
-are marked. Arguments are checked against schemas: required keys are there, known keys have the stated type. Every message
-is serialised as canonical JSON: keys in order, no space, arguments normalised.
+are marked. Arguments are checked against schemas: required keys are there, known keys have the stated type. Schemas stand in
+the conversation: a message of role `system` or `developer` whose text is a JSON object with `tools` (an array of {name,
+parameters}, as they are or under `function`; the last of a name counts); others may be given for all conversations. Every
+message is serialised as canonical JSON: keys in order, no space, arguments normalised.
 
 Null text is null content. A message that is no JSON object is plain content. Every call counts, also if its identifier is
 repeated: a result belongs to the nearest earlier call of its identifier (to the first, if none is earlier), and a call
 depends on the nearest call of that identifier before it (on the first after it, if none is). Content and further keys of
-messages, calls and results are kept, in order of keys. A null conv_id is a conversation of its own. An empty table gives
-no rows; further columns are ignored. No conversation is gathered in one place: there is a row for each message.
+messages, calls and results are kept, in order of keys. Messages of one turn are told apart by role and text; rows that are the
+same are rows each, of the same calls, which count once. A null conv_id is a conversation of its own, a null turn comes
+first. An empty table gives no rows; further columns are ignored. No conversation is gathered in one place: there is a row for each message.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from .common import stash
 
 CALL = "array<struct<id:string,name:string,arguments:string,depends_on:array<string>>>"
+#: Types of schemas, as the kinds of parsed values.
+KINDS = {"string": "STRING", "number": "DOUBLE", "integer": "BIGINT", "boolean": "BOOLEAN", "array": "ARRAY", "object": "OBJECT"}
 
 
 def canonical(text: F.Column) -> F.Column:
@@ -46,8 +51,8 @@ def written(v: F.Column, own: dict[str, F.Column]) -> F.Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text with calls (array) and answers (identifier)."""
-    obj = F.when(F.ltrim("text").startswith("{"), F.try_parse_json("text"))
+    """conv_id, turn, role, text, message (a hash of the row) with calls (array) and answers (identifier)."""
+    obj = F.when(F.ltrim(F.col("text"), F.lit(" \t\n\r")).startswith("{"), F.try_parse_json("text"))
     calls = F.when(F.col("role") == "assistant", F.expr("try_variant_get(v, '$.tool_calls', 'array<variant>')"))
     m = messages.select("conv_id", "turn", "role", "text").withColumn("v", obj).withColumn("raw", calls)
 
@@ -60,16 +65,29 @@ def parse(messages: DataFrame) -> DataFrame:
 
     made = F.transform("raw", lambda x: F.struct(get(x, "$.id", "string").alias("id"), get(x, "$.name", "string").alias("name"), arguments(x).alias("arguments"), F.coalesce(get(x, "$.depends_on", "array<string>"), F.array().cast("array<string>")).alias("depends_on"), written(x, {"arguments": F.coalesce(arguments(x), F.lit("null")), "id": json_of(get(x, "$.id", "string")), "name": json_of(get(x, "$.name", "string"))}).alias("json")))
     answers = F.when(F.col("role") == "tool", get(F.col("v"), "$.tool_call_id", "string"))
-    return m.select("conv_id", "turn", "role", "text", made.alias("calls"), answers.alias("answers"), "v")
+    return m.select("conv_id", "turn", "role", "text", F.xxhash64("conv_id", "turn", "role", "text").alias("message"), made.alias("calls"), answers.alias("answers"), "v")
+
+
+def schemas_of(parsed: DataFrame) -> DataFrame:
+    """conv_id, name, required, types of the tools that conversations state."""
+    tools = F.when(F.col("role").isin("system", "developer"), F.try_variant_get("v", "$.tools", "array<variant>"))
+    t = parsed.filter(F.col("v").isNotNull()).select("conv_id", "turn", F.posexplode(tools).alias("at", "t"))
+    get = lambda path, kind: F.coalesce(F.try_variant_get("t", f"$.function.{path}", kind), F.try_variant_get("t", f"$.{path}", kind))
+    kinds = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
+    stated = F.transform_values(get("parameters.properties", "map<string,variant>"), lambda _, x: F.element_at(kinds, F.try_variant_get(x, "$.type", "string")))
+    known = F.map_filter(stated, lambda _, x: x.isNotNull())
+    t = t.select("conv_id", "turn", "at", get("name", "string").alias("name"), get("parameters.required", "array<string>").alias("required"), known.alias("types")).filter("name is not null")
+    return t.groupBy("conv_id", "name").agg(F.max_by(F.struct("required", "types"), F.struct("turn", "at")).alias("s")).select("conv_id", "name", "s.required", "s.types")
 
 
 def link_calls(spark: SparkSession, parsed: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call: conv_id, turn, at, id, name, arguments, depth (null on a cycle), valid, results.
+    """One row per call: conv_id, turn, message, at, id, name, arguments, depth (null on a cycle), valid, results.
 
-    schemas: name, required (array of keys), types (map of key to STRING, BIGINT, DOUBLE, BOOLEAN, ARRAY or OBJECT).
+    schemas: name, required (array of keys), types (map of key to STRING, BIGINT, DOUBLE, BOOLEAN, ARRAY or OBJECT), for
+    conversations that state none of that name.
     """
-    has = parsed.filter(F.size("calls") > 0)
-    calls = has.select("conv_id", "turn", F.posexplode("calls").alias("at", "c")).select("conv_id", "turn", "at", "c.*")
+    has = parsed.filter(F.size("calls") > 0).select("conv_id", "turn", "message", "calls").dropDuplicates(["conv_id", "turn", "message"])
+    calls = has.select("conv_id", "turn", "message", F.posexplode("calls").alias("at", "c")).select("conv_id", "turn", "message", "at", "c.*")
     calls = stash(spark, calls.withColumn("uid", F.monotonically_increasing_id()), "calls")
     known = calls.filter("id is not null").select("conv_id", F.col("id").alias("key"), "turn", F.lit(0).alias("asks"), "at", "uid", F.lit(None).cast("long").alias("of"))
 
@@ -99,8 +117,11 @@ def link_calls(spark: SparkSession, parsed: DataFrame, schemas: DataFrame) -> Da
         depth += 1
     linked = linked.join(placed, "uid", "left")
 
-    y, s = linked.alias("y"), schemas.alias("s")
-    y = y.join(s, F.col("y.name") == F.col("s.name"), "left").select("y.*", F.col("s.name").isNotNull().alias("known"), "s.required", "s.types")
+    y, o, s = linked.alias("y"), schemas_of(parsed).alias("o"), schemas.alias("s")
+    y = y.join(o, F.col("y.conv_id").eqNullSafe(F.col("o.conv_id")) & (F.col("y.name") == F.col("o.name")), "left").join(s, F.col("y.name") == F.col("s.name"), "left")
+    stated = F.col("o.name").isNotNull()
+    pick = lambda c: F.when(stated, F.col(f"o.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+    y = y.select("y.*", (stated | F.col("s.name").isNotNull()).alias("known"), pick("required"), pick("types"))
     keys = F.json_object_keys("arguments")
     missing = F.exists("required", lambda k: ~F.array_contains(keys, k))
     y = y.withColumn("own", F.expr("try_cast(try_parse_json(arguments) as map<string,variant>)"))
@@ -121,11 +142,11 @@ def no_schemas(spark: SparkSession) -> DataFrame:
 
 
 def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame | None = None) -> DataFrame:
-    """conv_id, turn, role, json, n_calls, n_linked, n_valid, n_cyclic of every message."""
+    """conv_id, turn, role, json, n_calls, n_linked, n_valid, n_cyclic of every message. schemas: see link_calls."""
     parsed = parse(messages)
     calls = link_calls(spark, parsed, schemas if schemas is not None else no_schemas(spark))
     one = F.struct("depth", "turn", "at", "json")
-    per = calls.groupBy("conv_id", "turn").agg(
+    per = calls.groupBy("message").agg(
         F.sort_array(F.collect_list(one)).alias("ordered"),  # the calls of one message
         F.count("*").alias("n_calls"),
         F.sum((F.col("results") > 0).cast("int")).alias("n_linked"),
@@ -133,7 +154,7 @@ def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame | N
         F.sum(F.col("depth").isNull().cast("int")).alias("n_cyclic"),
     )
     p, c = parsed.alias("p"), per.alias("c")
-    m = p.join(c, F.col("p.conv_id").eqNullSafe(F.col("c.conv_id")) & F.col("p.turn").eqNullSafe(F.col("c.turn")) & (F.size("p.calls") > 0), "left").select("p.*", "c.ordered", "c.n_calls", "c.n_linked", "c.n_valid", "c.n_cyclic")
+    m = p.join(c, (F.col("p.message") == F.col("c.message")) & (F.size("p.calls") > 0), "left").select("p.*", "c.ordered", "c.n_calls", "c.n_linked", "c.n_valid", "c.n_cyclic")
     head = F.concat(F.lit(',"role":'), json_of(F.col("role")))
     plain = F.concat(F.lit('{"content":'), json_of(F.col("text")), head, F.lit("}"))
     content = F.coalesce(F.to_json(F.try_variant_get(F.col("v"), "$.content", "variant")), F.lit("null"))
