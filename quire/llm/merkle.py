@@ -1,10 +1,15 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections.
+"""Document fingerprints: a Merkle tree over paragraphs and sections, of built-in functions only.
 
-A text is cut into paragraphs at line ends and sentence ends, a section is a run of paragraphs that ends where a
-paragraph's hash divides by SECTION (so that an edit moves no far boundary). Leaves are hashes of paragraphs, nodes are
-hashes of their children's hashes, and the root tells whether texts are equal: it covers the whole text. The fingerprint is
-`root/section.section...:leaf,leaf...` and is made of built-in functions only. Likeness of two fingerprints is the Dice
-coefficient of their distinct leaves, 1 for equal roots.
+A text is cut behind line ends and sentence ends into paragraphs that together are the whole text; a section is a run of
+paragraphs that ends where a paragraph's hash divides by SECTION (so that an edit moves no far boundary). A leaf is the hash
+of a paragraph without the white space behind it, a section's hash is that of its leaves' hashes, and the root's that of the
+sections' and of one more branch, the white space between paragraphs: roots are equal where texts are. The fingerprint is `root/section.section...:leaf,leaf;leaf...`: leaves of a section are joined by
+commas, sections by semicolons.
+
+Likeness walks two trees from the root: equal roots give 1. Else sections that both have (as often as both have them) are the
+same in all their leaves, and only the leaves of the others are compared. The share of the same leaves, counted as often as
+they are there, is averaged with the share of the same neighbours, so that the order of paragraphs counts too.
+`with_differences` gives the paragraphs at which two texts differ, by the same walk.
 
 Null text is empty text: its tree is a root alone. Rows with equal doc_id follow each other in the order of a hash of
 their text; a null doc_id comes last. The next document of the last row is the first. An empty table gives no rows; further
@@ -15,62 +20,139 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: One paragraph in so many ends a section. Digits of a leaf's hash.
-SECTION, DIGITS = 8, 8
+#: One paragraph in so many ends a section (a hash's last digit is 0 or 8). Digits of a leaf and of a section in fingerprints.
+SECTION, LEAF_DIGITS, SECTION_DIGITS = 8, 8, 16
+SPACE = " \t\n\r\f"
+PARAGRAPH = r"[^.!?\n]*[.!?\n][.!? \t\n\r\f]*|[^.!?\n]+"
+#: Bytes of texts in a range of document ids, about, and the most ranges (their bounds are literals of the plan).
+RANGE_BYTES, RANGES = 64 << 20, 1 << 14
+
+
+def paragraphs(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0))
+
+
+def _bare(paragraph: Column) -> Column:
+    return F.rtrim(paragraph, F.lit(SPACE))
+
+
+def spacing(text: Column) -> Column:
+    """The white space behind each paragraph, joined by commas."""
+    return F.array_join(F.transform(paragraphs(text), lambda p: F.substr(p, F.length(_bare(p)) + 1)), ",")
+
+
+def tree(text: Column) -> Column:
+    """Sections, each as its leaves' hashes (whole digests) joined by commas."""
+    joined = F.array_join(F.transform(paragraphs(text), lambda p: F.md5(_bare(p))), ",")
+    return F.filter(F.split(F.regexp_replace(joined, "([0-9a-f]{31}[08]),", "$1;"), ";"), lambda s: s != "")
+
+
+def digests(sections: Column) -> Column:
+    return F.transform(sections, lambda s: F.sha2(s, 256))
 
 
-def leaves(text: Column) -> Column:
-    """Hashes of the paragraphs of a text."""
-    parts = F.filter(F.split(text, r"(?<=[.!?\n])[ \t\n]*"), lambda x: x != "")
-    return F.transform(parts, lambda x: F.substring(F.hex(F.xxhash64(x)), 1, DIGITS))
+def root(sections: Column, space: Column) -> Column:
+    return F.sha2(F.concat(F.array_join(digests(sections), "."), F.lit("/"), F.sha2(space, 256)), 256)
 
 
-def sections(leaf: Column) -> Column:
-    """Hashes of the sections: leaves joined, cut behind those whose hash ends a section, and hashed."""
-    joined = F.regexp_replace(F.array_join(leaf, ","), r"([0-9A-F]{7}[08]),", "$1;")
-    return F.transform(F.filter(F.split(joined, ";"), lambda x: x != ""), lambda x: F.substring(F.sha2(x, 256), 1, 2 * DIGITS))
+def fingerprint(sections: Column, space: Column) -> Column:
+    """Of a tree() and the spacing() of the same text."""
+    above = F.array_join(F.transform(digests(sections), lambda d: F.substring(d, 1, SECTION_DIGITS)), ".")
+    leaves = F.regexp_replace(F.array_join(sections, ";"), rf"([0-9a-f]{{{LEAF_DIGITS}}})[0-9a-f]{{{32 - LEAF_DIGITS}}}", "$1")
+    return F.concat(root(sections, space), F.lit("/"), above, F.lit(":"), leaves)
 
 
-def fingerprint(text: Column, leaf: Column) -> Column:
-    above = F.array_join(sections(leaf), ".")
-    root = F.sha2(F.concat(F.sha2(text, 256), F.sha2(above, 256)), 256)
-    return F.concat(root, F.lit("/"), above, F.lit(":"), F.array_join(leaf, ","))
+def _counted(df: DataFrame, **lists: str) -> DataFrame:
+    """With columns of the lists' elements in order of value, each with its number among equal ones: bags as sets, in linear
+    time. Each step is a column of its own, so that nothing is worked out again for each element."""
+    df = df.withColumns({f"_v_{k}": F.array_sort(F.col(c)) for k, c in lists.items()})
 
+    def starts(v: Column) -> Column:
+        return F.when(F.size(v) > 0, F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1))))
 
-def likeness(x: Column, y: Column, roots_equal: Column) -> Column:
-    """2 * shared / (own + other) of distinct leaves."""
-    a, b = F.array_distinct(x), F.array_distinct(y)
-    both = F.size(F.array_intersect(a, b))
-    all_ = F.size(a) + F.size(b)
-    return F.when(roots_equal, F.lit(1.0)).when(all_ == 0, F.lit(0.0)).otherwise(2.0 * both / all_)
+    df = df.withColumns({f"_a_{k}": starts(F.col(f"_v_{k}")) for k in lists})
 
+    def numbered(v: Column, at: Column) -> Column:
+        ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(v)))
+        runs = F.zip_with(at, ends, lambda a, b: F.struct(a.alias("a"), (b - a).alias("n"), F.get(v, a).alias("x")))
+        return F.coalesce(F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), r["n"]), lambda k: F.concat(r["x"], F.lit("#"), k.cast("string"))))), F.array().cast("array<string>"))
 
-def in_order(docs: DataFrame, buckets: int = 256) -> DataFrame:
+    df = df.withColumns({k: numbered(F.col(f"_v_{k}"), F.col(f"_a_{k}")) for k in lists})
+    return df.drop(*[f"_{x}_{k}" for x in "va" for k in lists])
+
+
+def _rest(own: Column, other: Column) -> Column:
+    """Leaves of the counted sections that the other has not, or not as often."""
+    return F.flatten(F.transform(F.array_except(own, other), lambda s: F.split(F.substring_index(s, "#", 1), ",")))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """df with the likeness of two fingerprints, 0 to 1."""
+    kept = df.columns
+    sections = lambda c: F.filter(F.split(F.substring_index(F.col(c), ":", -1), ";"), lambda s: s != "")
+    df = df.withColumns({"_sx": sections(a), "_sy": sections(b)})
+    df = _counted(df, _cx="_sx", _cy="_sy")
+    leaves = lambda c: F.flatten(F.transform(F.col(c), lambda s: F.split(s, ",")))
+    df = df.withColumns({"_rx": _rest(F.col("_cx"), F.col("_cy")), "_ry": _rest(F.col("_cy"), F.col("_cx")), "_lx": leaves("_sx"), "_ly": leaves("_sy")})
+    pairs = lambda c: F.zip_with(F.concat(F.array(F.lit("^")), F.col(c)), F.concat(F.col(c), F.array(F.lit("$"))), lambda p, q: F.concat(p, q))
+    df = _counted(df.withColumns({"_px": pairs("_lx"), "_py": pairs("_ly")}), _ex="_rx", _ey="_ry", _qx="_px", _qy="_py")
+    same = F.size("_lx") - F.size("_rx") + F.size(F.array_intersect("_ex", "_ey"))
+    total = F.size("_lx") + F.size("_ly")
+    share = same / total + F.size(F.array_intersect("_qx", "_qy")) / (total + 2)
+    root_of = lambda c: F.substring_index(F.col(c), "/", 1)
+    found = F.when(root_of(a) == root_of(b), F.lit(1.0)).when((F.size("_lx") == 0) | (F.size("_ly") == 0), F.lit(0.0)).otherwise(F.round(share, 12))
+    return df.withColumn(name, found).select(*kept, name)
+
+
+def with_differences(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """df with the paragraphs of text a, as (at, paragraph), that stand in sections which text b has not and are not among the
+    other's paragraphs there: where a differs. Empty if the roots are equal."""
+    kept = df.columns
+    df = _counted(df.withColumns({"_sx": tree(F.col(a)), "_sy": tree(F.col(b)), "_own": paragraphs(F.col(a))}), _cx="_sx", _cy="_sy")
+    df = df.withColumns({"_rx": _rest(F.col("_cx"), F.col("_cy")), "_ry": _rest(F.col("_cy"), F.col("_cx"))}).withColumn("_lost", F.array_except("_rx", "_ry"))
+    numbered = F.transform("_own", lambda p, i: F.struct(i.alias("at"), p.alias("paragraph"), F.md5(_bare(p)).alias("h")))
+    found = F.filter(numbered, lambda n: F.array_contains("_lost", n["h"]))
+    return df.withColumn(name, F.transform(found, lambda n: F.struct(n["at"].alias("at"), n["paragraph"].alias("paragraph")))).select(*kept, name)
+
+
+def in_order(docs: DataFrame) -> DataFrame:
     """doc_id, text and next_text: the text of the next document in descending doc_id, cyclic.
 
-    Documents are dealt to ranges of doc_id, bounded by approximate quantiles. The first document of a range is dealt to
-    the range before as well, as its end, so that no range needs another one.
+    Documents are dealt to ranges of doc_id, as many as their bytes need, bounded by approximate quantiles; null ids to
+    ranges of a hash of the text. The first document of a range is dealt to the range before as well, as its end, so that
+    no range needs another one.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 4000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    # range 0 holds the largest ids; null ids are a range of their own, the last one
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(
-        F.lit(len(cuts)) - F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c < F.col("doc_id")))
-    )
-    rows = rows.withColumn("bucket", bucket.cast("int"))
-    first = {r.bucket: r for r in rows.groupBy("bucket").agg(F.max("doc_id").alias("top"), F.max_by("th", F.struct("doc_id", -F.col("th").cast("decimal(20,0)"))).alias("th")).collect()}  # `buckets` rows at most
-    full = sorted(first)
-    if not full:
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"), F.count("doc_id").alias("ids")).first()
+    if not size.n:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
-    before = {b: full[i - 1] for i, b in enumerate(full)}
-    heads = [(b, before[b]) for b in full]
-    to = F.coalesce(*[F.when(F.col("bucket") == b, F.lit(p)) for b, p in heads])
-    is_head = F.coalesce(*[F.when(F.col("bucket") == b, (F.col("doc_id").eqNullSafe(F.lit(first[b].top).cast("long"))) & ((F.col("th") == F.lit(first[b].th)) if first[b].top is not None else F.lit(True))) for b in full])
-    copies = F.when(is_head, F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("end")), F.struct(to.alias("at"), F.lit(True).alias("end")))).otherwise(F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("end"))))
-    dealt = rows.select("doc_id", "text", "th", F.explode(copies).alias("c")).select("doc_id", "text", "th", "c.at", "c.end")
-    order = W.partitionBy("at").orderBy("end", F.desc_nulls_last("doc_id"), "th")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).filter(~F.col("end")).select("doc_id", "text", "next_text")
+    ranges = max(2, min(RANGES, max(256, -(-size.bytes // RANGE_BYTES)), size.n))
+    own = max(2, round(ranges * size.ids / size.n))
+    nulls = max(1, ranges - own)
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / own for i in range(1, own)], max(4000, 10 * own)).alias("c")).first()["c"] or []
+    cuts = sorted(set(cuts))
+    # how many cuts are below an id: first among every step-th, then in the run behind it
+    step = max(1, round(len(cuts) ** 0.5))
+    coarse, runs = cuts[step - 1 :: step], [cuts[i : i + step] for i in range(0, max(1, len(cuts)), step)]
+    below = lambda xs: F.size(F.filter(xs, lambda c: c < F.col("doc_id")))
+    literal = lambda xs: F.lit(xs).cast("array<bigint>") if xs else F.array().cast("array<bigint>")
+    at = below(literal(coarse))
+    under = at * step + F.coalesce(below(F.get(F.array(*map(literal, runs)), at)), F.lit(0)) if cuts else F.lit(0)
+    # range 0 holds the largest ids; null ids come behind, in the order of their texts' hashes
+    of_null = len(cuts) + 1 + F.floor((F.shiftrightunsigned(F.col("th"), 32).cast("long") + F.lit(1 << 31)) % F.lit(1 << 32) * nulls / F.lit(1 << 32))
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), of_null).otherwise(len(cuts) - under).cast("int"))
+    first = rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).alias("f")
+    heads = rows.join(F.broadcast(first), "bucket").filter(F.col("doc_id").eqNullSafe(F.col("f.top"))).groupBy("bucket", "f.top").agg(F.min("th").alias("least"))  # a row for each range, RANGES at most
+    order = W.orderBy("bucket")
+    last = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    heads = heads.select(F.col("bucket").alias("own"), "top", "least", F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(last)).alias("before"))
+    dealt = rows.join(F.broadcast(heads), rows.bucket == F.col("own"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("th") == F.col("least"))
+    here = F.struct(F.col("bucket").alias("at"), F.lit(False).alias("end"))
+    copies = F.when(is_head, F.array(here, F.struct(F.col("before").alias("at"), F.lit(True).alias("end")))).otherwise(F.array(here))
+    dealt = dealt.select("doc_id", "text", "th", F.explode(copies).alias("c")).select("doc_id", "text", "th", "c.at", "c.end")
+    w = W.partitionBy("at").orderBy("end", F.desc_nulls_last("doc_id"), "th")
+    return dealt.withColumn("next_text", F.lead("text").over(w)).filter(~F.col("end")).select("doc_id", "text", "next_text")
 
 
 def merkle_fingerprints(docs: DataFrame) -> DataFrame:
@@ -79,14 +161,8 @@ def merkle_fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.withColumn("edited", edited)
-    for x in ("text", "edited", "next_text"):
-        rows = rows.withColumn(f"{x}_leaves", leaves(F.col(x)))
-    return rows.select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), F.col("text_leaves")).alias("fingerprint"),
-        fingerprint(F.col("edited"), F.col("edited_leaves")).alias("edited_fingerprint"),
-        likeness(F.col("text_leaves"), F.col("edited_leaves"), F.col("text") == F.col("edited")).alias("near_edited"),
-        likeness(F.col("text_leaves"), F.col("next_text_leaves"), F.col("text") == F.col("next_text")).alias("near_next"),
-    )
+    texts = {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"}
+    rows = rows.withColumns({f"_tree_{n}": tree(F.col(c)) for n, c in texts.items()} | {f"_space_{n}": spacing(F.col(c)) for n, c in texts.items()})
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[fingerprint(F.col(f"_tree_{n}"), F.col(f"_space_{n}")).alias(n) for n in texts])
+    rows = with_likeness(with_likeness(rows, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
+    return rows.drop("next_fingerprint")
