@@ -320,3 +320,92 @@ def test_pipeline_mix_of_repeated_rows(spark):
     assert corpus_pipeline.mix(spark, df.limit(0), "").count() == 0
     extra = corpus_pipeline.near_duplicates(spark, df.withColumn("node", F.lit(1)).withColumn("place", F.lit(2)).withColumn("at", F.lit(3)), "")
     assert extra.columns[-3:] == ["node", "place", "at"] and extra.count() == 6
+
+
+def test_license_spans(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    texts = [
+        "to the " * 60, "of the " * 40, "this work this work is dedicated this is dedicated dedicated to the the public", mit, mit.replace("hereby", "HEREBY at once").replace("a copy", "copy"), "free of charge to any person", mit[:40] + " x" * 30 + mit[40:],
+        "GENERAL PUBLIC LICENSE", "general public  license general public license", "general public 'K' license", "all rights\nreserved. " * 2,
+    ]
+    got = {r.doc_id: r for r in license_scan.license_scan(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(11)] == ["", "", "", "mit", "mit", "", "", "gpl", "gpl", "", "reserved"]
+    assert (got[3].score, got[8].n_base, got[8].first_word, got[8].last_word, got[10].n_base) == (1.0, 2, 0, 3, 2) and 0.6 <= got[4].score < 1 and got[6].score == 0
+    twice = spark.createDataFrame([(None, mit), (None, mit), (None, None), (1, mit)], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.labels) for r in license_scan.license_scan(spark, twice).collect()) == [("1", "mit"), ("None", ""), ("None", "mit"), ("None", "mit")]
+    assert license_scan.license_scan(spark, twice.limit(0)).count() == 0
+
+
+def test_merkle_walk(spark):
+    rows = [("Alpha beta. Alpha beta. Gamma.", "Gamma. Alpha beta."), ("a. b. c.", "a.  b. c."), ("", "x"), ("a. b. c. d.", "a. b. X. d."), ("", ""), ("a b", "a b")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    prints = df.withColumns({n: merkle.fingerprint(merkle.tree(F.col(c)), merkle.spacing(F.col(c))) for n, c in (("fa", "a"), ("fb", "b"))})
+    got = merkle.with_differences(merkle.with_likeness(prints, "fa", "fb", "near"), "a", "b", "lost").collect()
+    assert [r.near for r in got] == [0.4, 1.0, 0.0, 0.675, 1.0, 1.0]
+    assert [r.fa == r.fb for r in got] == [False, False, False, False, True, True] and [[x.paragraph for x in r.lost] for r in got] == [[], [], [], ["c. "], [], []]
+
+
+def test_merkle_brute_force(spark):
+    """Many rows of null and repeated ids, and sections of several paragraphs."""
+    import re
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    base = [f"s{k} words. " for k in range(60)]
+    rows = [(None if i % 3 == 0 else int(rng.integers(0, 80)), "".join(rng.choice(base, rng.integers(0, 40))) + "end\n" * (i % 2)) for i in range(120)]
+    got = merkle.merkle_fingerprints(spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")).collect()
+    assert len(got) == 121
+
+    def sections(text: str) -> list[list[str]]:
+        out, own = [], []
+        for p in re.findall(merkle.PARAGRAPH, text):
+            own.append(hashlib.md5(p.rstrip(merkle.SPACE).encode()).hexdigest())
+            if own[-1][-1] in "08":
+                out, own = [*out, own], []
+        return out + [own] * bool(own)
+
+    by_id = Counter(i for i, _ in rows)
+    nulls = [t for i, t in rows if i is None] + [""]
+    prints = Counter((r.doc_id, r.fingerprint.split(":")[1]) for r in got)
+    assert prints == Counter((i, ";".join(",".join(h[:8] for h in s) for s in sections(t or ""))) for i, t in [*rows, (None, None)])
+    order = sorted({i for i in by_id if i is not None}, reverse=True)
+    for i, after in zip(order, [*order[1:], None]):
+        if by_id[i] == 1 and after is not None and by_id[after] == 1:  # both stand alone: the next text is known
+            text, other = (next(t for j, t in rows if j == k) for k in (i, after))
+            half = len(text) // 2
+            row = next(r for r in got if r.doc_id == i)
+            assert row.edited_sha256 == hashlib.sha256((text[: len(text) - half] + other[:half]).encode()).hexdigest()
+    assert len(nulls) == sum(r.doc_id is None for r in got) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+
+
+def test_chat_schemas_of_the_conversation(spark):
+    tools = {"tools": [{"type": "function", "function": {"name": "f", "parameters": {"required": ["n"], "properties": {"n": {"type": "integer"}, "tags": {"type": "array"}, "any": {}}}}}, {"name": "g", "parameters": {"properties": {"x": {"type": "number"}}}}]}
+    call = lambda name, k, **a: {"id": str(k), "name": name, "arguments": a}
+    made = {"tool_calls": [call("f", 1, n=1, tags=[]), call("f", 2, n="1"), call("f", 3), call("g", 4, x=1.5), call("g", 5, x="a"), call("h", 6)]}
+    rows = [(1, 0, "system", json.dumps(tools)), (1, 1, "assistant", "\n\t" + json.dumps(made)), (2, 1, "assistant", json.dumps(made)), (1, 2, "assistant", json.dumps({"tool_calls": [call("f", 7, n=2)]})), (1, 2, "assistant", json.dumps({"tool_calls": [call("f", 8)]}))]
+    rows += [rows[3], (1, 3, "assistant", "{broken"), (1, 4, "system", "[1]"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_tools.format_chat(spark, df).collect()
+    assert len(got) == len(rows)
+    at = lambda c, t: sorted((r.n_calls, r.n_valid) for r in got if (r.conv_id, r.turn) == (c, t))
+    assert at(1, 1) == [(6, 2)] and at(2, 1) == [(6, 0)] and at(1, 2) == [(1, 0), (1, 1), (1, 1)] and at(1, 3) == [(0, 0)]
+    both = spark.createDataFrame([("f", ["n"], {}), ("h", None, None)], "name string, required array<string>, types map<string,string>")
+    again = {(r.conv_id, r.turn): r.n_valid for r in chat_tools.format_chat(spark, df, both).collect()}
+    assert again[1, 1] == 3 and again[2, 1] == 3
+    assert chat_tools.format_chat(spark, df.limit(0)).count() == 0
+
+
+def test_pages_made_up(spark):
+    """Pages that the labeller has not seen, one with very many blocks among short ones, nulls and copies."""
+    rng = np.random.default_rng(11)
+    made = [html_lstm.made_up_page(rng) for _ in range(80)]
+    long = "<nav><a href=/x>Home</a></nav><article>" + "".join(f"<p>Paragraph {i} of the article, with some words in it.</p>" for i in range(15_000)) + "</article>"
+    rows = [(i, f"u{i}", page) for i, (page, _) in enumerate(made)] + [(100, "n", None), (101, "e", ""), (102, "l", long), (103, None, made[0][0]), (None, "x", made[0][0])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, text int")
+    got = {r.page_id: r for r in html_lstm.extract_pages(spark, df).collect()}
+    import html as h
+
+    want = ["\n\n".join(" ".join(h.unescape(b).split()) for b in main) for _, main in made]
+    assert sum(got[i].text == w for i, w in enumerate(want)) >= 74 and all(r.n_chars == len(r.text) for r in got.values())
+    assert got[100].text == got[101].text == "" and got[102].text.count("\n\n") == 14_999 and got[103].text == got[0].text == got[None].text
+    assert html_lstm.extract_pages(spark, df.limit(0)).count() == 0
