@@ -3,7 +3,8 @@
 A text is a vector of terms: hashed words, the shapes of its words (letter case, digits, symbols) and bins of how much it
 repeats itself. Latent-semantic axes come from the term-document matrix of a bounded sample of labelled documents; the
 same documents, projected, are the voters (BOUND for each label at most, broadcast). For every document, all cosines with
-the voters are computed in blocks, and the NEIGHBOURS nearest vote with their label, weighted by similarity.
+the voters are computed in blocks, and the NEIGHBOURS nearest vote with their label, weighted by the eighth power of the
+similarity; all that are as near as the last of them vote as well, so that ties have no order.
 
 Labels are read of rows whose crc32(doc_id as text) mod 5 is not 0 only. Null text is empty text; it has only the bins
 and is scored like any other. Repeated rows are scored each. Without labels of both kinds every score is 0.5. An empty
@@ -109,9 +110,11 @@ class Space:
         k = min(NEIGHBOURS, len(self.voters))
         for at in range(0, len(z), 512):
             sim = z[at : at + 512] @ self.voters.T
-            near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-            w = np.maximum(np.take_along_axis(sim, near, axis=1), 1e-6) ** 8
-            out[at : at + 512] = (w * self.labels[near]).sum(axis=1) / w.sum(axis=1)
+            least = -np.partition(-sim, k - 1, axis=1)[:, k - 1 : k]
+            w = np.where(sim >= least, np.maximum(sim, 1e-3), 0)
+            for _ in range(3):
+                w *= w
+            out[at : at + 512] = (w @ self.labels) / w.sum(axis=1)
         return np.clip(out, 0, 1)
 
 

@@ -409,3 +409,23 @@ def test_pages_made_up(spark):
     assert sum(got[i].text == w for i, w in enumerate(want)) >= 74 and all(r.n_chars == len(r.text) for r in got.values())
     assert got[100].text == got[101].text == "" and got[102].text.count("\n\n") == 14_999 and got[103].text == got[0].text == got[None].text
     assert html_lstm.extract_pages(spark, df.limit(0)).count() == 0
+
+
+def test_votes_brute_force():
+    """Scores equal a plain loop over cosines, ties included."""
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 30))) for _ in range(120)]
+    x = quality_knn.Terms().matrix(pa.array([*texts, *texts[:20]]))  # twenty voters are there twice
+    y = rng.integers(0, 2, 140)
+    space = quality_knn.Space(x, y)
+    asked = quality_knn.Terms().matrix(pa.array([None, "", *texts[:10], "w1 W2! w3."]))
+    got = space.score(asked)
+    z = asked * space.idf
+    z = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9) @ space.axes
+    for i, v in enumerate(z):
+        cos = [float(v @ w) / max(float(np.linalg.norm(v)), 1e-9) for w in space.voters]
+        kth = sorted(cos, reverse=True)[quality_knn.NEIGHBOURS - 1]
+        votes = [(max(c, 1e-3) ** 8, label) for c, label in zip(cos, y) if c >= kth - 1e-6]
+        assert abs(got[i] - sum(w * label for w, label in votes) / sum(w for w, _ in votes)) < 5e-3
+    assert np.array_equal(got, space.score(asked)) and ((got >= 0) & (got <= 1)).all()
