@@ -31,37 +31,36 @@ def first_int(x: Column) -> Column:
     return F.coalesce(x.try_cast("bigint"), F.regexp_extract(x, "[0-9]+", 0).try_cast("int").cast("bigint"), F.lit(0).cast("bigint"))
 
 
-_ISO = r"^\d{4}-\d{2}-\d{2}$"
+def _whole_day(x: Column) -> Column:
+    """The date of a yyyy-MM-dd text, the bulk of dates, without a pattern; else null."""
+    shaped = (F.length(x) == 10) & (F.substring(x, 5, 1) == "-") & (F.substring(x, 8, 1) == "-")
+    return F.when(shaped, x.try_cast("date"))
+
+
+_MONTHS = "january february march april may june july august september october november december".split()
 
 
 def granularity(x: Column) -> Column:
     """year, month, day or null of a date text. The bulk, whole days, is told first."""
     return (
-        F.when(x.rlike(_ISO), "day")
+        F.when(_whole_day(x).isNotNull(), "day")
         .when(x.rlike(r"^\d{4}(-|-x{1,2}(-x{1,2})?)?$"), "year")
-        .when(x.rlike(r"^(\d{4}-\d{1,2}|\d{4}-[A-Za-z]{3,9}|\d{6})$"), "month")
-        .when(x.rlike(r"^(\d{4}-\d{1,2}-\d{1,2}|\d{8}|\d{4}-[A-Za-z]{3,9}-\d{1,2}|\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}Z?|\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z)$"), "day")
+        .when(x.rlike(r"^\d{4}(-\d{1,2}|-[A-Za-z]{3,9}|\d{2})$"), "month")
+        .when(x.rlike(r"^(\d{4}-(\d{1,2}|[A-Za-z]{3,9})-\d{1,2}|\d{8}|\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2}Z?|T\d{2}:\d{2}:\d{2}Z))$"), "day")
     )
 
 
-def parse_date(x: Column) -> Column:
-    """The start of what a date text names, as a timestamp; null if it names no date. Each text is parsed by the one layout
-    of its shape, whole days by a cast."""
-
-    def at(text: Column, *layouts: str) -> Column:
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in layouts])
-
-    return (
-        F.when(x.rlike(_ISO), x.try_cast("date").cast("timestamp"))
-        .when(x.rlike(r"^\d{4}(-|-x{1,2}(-x{1,2})?)?$"), at(F.substring(x, 1, 4), "yyyy"))
-        .when(x.rlike(r"^\d{4}-\d{1,2}$"), at(x, "yyyy-M"))
-        .when(x.rlike(r"^\d{6}$"), at(x, "yyyyMM"))
-        .when(x.rlike(r"^\d{8}$"), at(x, "yyyyMMdd"))
-        .when(x.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), at(x, "yyyy-M-d"))
-        .when(x.rlike(r"^\d{4}-[A-Za-z]{3,9}$"), at(x, "yyyy-MMM", "yyyy-MMMM"))
-        .when(x.rlike(r"^\d{4}-[A-Za-z]{3,9}-\d{1,2}$"), at(x, "yyyy-MMM-d", "yyyy-MMMM-d"))
-        .when(granularity(x) == "day", at(F.translate(x, "TZ", " "), "yyyy-MM-dd HH:mm:ss"))
-    )
+def parse_date(x: Column, unit: Column | None = None) -> Column:
+    """The start of what a date text names, as a timestamp; null if it names no date. All layouts are brought to the one
+    that a cast reads, so that the expression stays small enough to be compiled. unit: the granularity, where it is known."""
+    numbers = F.create_map(*[F.lit(v) for k, m in enumerate(_MONTHS) for name in dict.fromkeys((m, m[:3])) for v in (name, f"{k + 1:02d}")])
+    name = F.lower(F.regexp_extract(x, "^.{5}([A-Za-z]{3,9})", 1))
+    cut = lambda at, n: F.substring(x, at, n)
+    named = F.concat(cut(1, 5), F.element_at(numbers, name), F.substr(x, F.length(name) + 6))
+    compact = F.concat_ws("-", cut(1, 4), cut(5, 2), F.nullif(cut(7, 2), F.lit("")))
+    unit = granularity(x) if unit is None else unit
+    text = F.when(unit == "year", cut(1, 4)).when(name != "", named).when(cut(5, 1) != "-", compact).otherwise(F.translate(x, "TZ", " "))
+    return F.when(_whole_day(x).isNotNull(), _whole_day(x).cast("timestamp")).when(unit.isNotNull(), text.try_cast("timestamp"))
 
 
 def embargo_hours(x: Column) -> Column:

@@ -13,54 +13,74 @@ from ..functions.scalars import embargo_hours, first_int, granularity, parse_dat
 
 #: Shapes of links to databases: fixed values.
 DATABASE_LINKS = [r"https://www.wiso-net.de/toc_list/([A-Z]{3,4})", r"https://www.wiso-net.de/.*dbShortcut=:2:2:([A-Z]{3,4})", r"https://www.wiso-net.de/.*dbShortcut=([A-Z]{3,4})"]
-FIRST, LAST = "0001-01-01", "2364-01-01"
+FIRST, LAST, FAR = "0001-01-01", "2364-01-01", "9999-12-31"
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """The first integer of a text; null where the column is missing, null or empty."""
+#: What a missing number is compared as: less or more than any.
+LEAST, MOST = -(1 << 62), 1 << 62
+
+
+def _number(df: DataFrame, name: str, default: int) -> Column:
+    """The first integer of a text; the default where the column is missing, null or empty."""
     if name not in df.columns:
-        return F.lit(None).cast("bigint")
+        return F.lit(default).cast("bigint")
     x = F.col(name).cast("string")
-    return F.when(x != "", first_int(x))
+    return F.coalesce(F.when(x != "", first_int(x)), F.lit(default).cast("bigint"))
 
 
 def prepare_entries(entries: DataFrame, now: Column, key: str = "serial") -> DataFrame:
-    """holdings, key, bounds at each granularity (what a record of that granularity is compared with), years, numbers, wall."""
+    """holdings, key, begin, end, their years, numbers and walls of entries, with a value where there is no bound. Entries of
+    a bad embargo cover nothing and go."""
     first, last = parse_date(F.col("first_date")), parse_date(F.col("last_date"))
     unit = granularity(F.col("last_date"))
-    end = F.when(unit == "year", F.date_trunc("year", last) + F.expr("interval 1 year") - F.expr("interval 1 day")).when(unit == "month", F.date_trunc("month", last) + F.expr("interval 1 month") - F.expr("interval 1 day")).otherwise(last)
-    e = entries.withColumn("_begin", F.coalesce(first, F.lit(FIRST).cast("timestamp"))).withColumn("_end", F.coalesce(end, F.lit(LAST).cast("timestamp")))
+    whole = F.when(unit == "year", F.date_trunc("year", last) + F.expr("interval 1 year") - F.expr("interval 1 day")).when(unit == "month", F.date_trunc("month", last) + F.expr("interval 1 month") - F.expr("interval 1 day")).otherwise(last)
+    begin, end = F.coalesce(first, F.lit(FIRST).cast("timestamp")), F.coalesce(whole, F.lit(LAST).cast("timestamp"))
+    e = entries.withColumn("begin", begin).withColumn("end", end)
     embargo = F.trim(F.coalesce(F.col("embargo"), F.lit(""))) if "embargo" in entries.columns else F.lit("")
     hours = embargo_hours(embargo)
-    at = lambda c: F.struct(F.date_trunc("year", c).alias("year"), F.date_trunc("month", c).alias("month"), F.col(c).alias("day"))
+    wall = now - F.make_dt_interval(hours=hours.cast("int"))
+    numbers = {"first_volume": LEAST, "last_volume": MOST, "first_issue": LEAST, "last_issue": MOST}
     out = e.filter(hours.isNotNull()).select(
-        "holdings", key, at("_begin").alias("begins"), at("_end").alias("ends"), F.year("_begin").alias("begin_year"), F.year("_end").alias("end_year"),
-        *[_number(entries, n).alias(n) for n in ("first_volume", "last_volume", "first_issue", "last_issue")],
-        F.when(embargo.startswith("R") & (embargo != ""), now - F.make_dt_interval(hours=hours.cast("int"))).alias("not_before"), F.when(embargo.startswith("P"), now - F.make_dt_interval(hours=hours.cast("int"))).alias("not_after"),
+        "holdings", key, "begin", "end", F.year("begin").alias("begin_year"), F.year("end").alias("end_year"), *[_number(entries, n, d).alias(n) for n, d in numbers.items()],
+        F.when(embargo.startswith("R"), wall).otherwise(F.lit(FIRST).cast("timestamp")).alias("not_before"), F.when(embargo.startswith("P"), wall).otherwise(F.lit(FAR).cast("timestamp")).alias("not_after"),
     )
     return out.distinct() if key != "serial" else out
 
 
 def _residual() -> Column:
+    """A bound at the granularity of a record: it begins before what the record's date names ends, and ends no earlier than that
+    begins. Volume and issue count in the years of the bounds only. All are plain comparisons."""
     t, y = F.col("t"), F.col("y")
-    bound = lambda c: F.when(F.col("g") == "day", F.col(c)["day"]).when(F.col("g") == "month", F.col(c)["month"]).otherwise(F.col(c)["year"])
-    inside = (t >= bound("begins")) & (t <= bound("ends"))
-    wall = F.coalesce(t >= F.col("not_before"), F.lit(True)) & F.coalesce(t <= F.col("not_after"), F.lit(True))
-    low = (F.col("begin_year") != y) | (F.coalesce(F.col("volume") >= F.col("first_volume"), F.lit(True)) & F.coalesce(F.col("issue") >= F.col("first_issue"), F.lit(True)))
-    high = (F.col("end_year") != y) | (F.coalesce(F.col("volume") <= F.col("last_volume"), F.lit(True)) & F.coalesce(F.col("issue") <= F.col("last_issue"), F.lit(True)))
-    return inside & wall & low & high
+    inside = (F.col("begin") <= F.col("until")) & (t <= F.col("end")) & (t >= F.col("not_before")) & (t <= F.col("not_after"))
+    low = (F.col("begin_year") != y) | ((F.col("volume") >= F.col("first_volume")) & (F.col("issue") >= F.col("first_issue")))
+    high = (F.col("end_year") != y) | ((F.col("volume_") <= F.col("last_volume")) & (F.col("issue_") <= F.col("last_issue")))
+    return inside & low & high
 
 
 def _dated(records: DataFrame) -> DataFrame:
-    d = records.select("record_id", *[c for c in ("serials", "title") if c in records.columns], parse_date(F.col("date")).alias("t"), granularity(F.col("date")).alias("g"), _number(records, "volume").alias("volume"), _number(records, "issue").alias("issue"))
-    return d.filter("t is not null").withColumn("y", F.year("t"))
+    """record_id, keys, t (where the date begins), until (its last moment), y, and volume and issue as compared from below and
+    (with an underscore) from above."""
+    kept = [c for c in ("serials", "title") if c in records.columns]
+    numbers = [_number(records, n, d).alias(a) for n, d, a in (("volume", MOST, "volume"), ("issue", MOST, "issue"), ("volume", LEAST, "volume_"), ("issue", LEAST, "issue_"))]
+    d = records.select("record_id", *kept, "date", granularity(F.col("date")).alias("g"), *numbers)
+    d = d.select("record_id", *kept, parse_date(F.col("date"), F.col("g")).alias("t"), "g", "volume", "issue", "volume_", "issue_")
+    moment = F.expr("interval 1 microsecond")
+    until = F.when(F.col("g") == "day", F.col("t")).when(F.col("g") == "month", F.col("t") + F.expr("interval 1 month") - moment).otherwise(F.col("t") + F.expr("interval 1 year") - moment)
+    return d.withColumn("until", until).withColumn("y", F.year("t")).drop("g")  # a record without a date fails every comparison
+
+
+def _keyed(records: DataFrame, keys: Column, key: str) -> DataFrame:
+    """A row of each record for each key. What dates and numbers are parsed to goes through the generator, as nothing is pushed
+    below it: tests for nulls, which the join brings along, would parse them again otherwise."""
+    d = _dated(records)
+    parsed = ("t", "until", "y", "volume", "issue", "volume_", "issue_")
+    return d.select("record_id", F.explode(F.transform(keys, lambda k: F.struct(k.alias(key), *parsed))).alias("z")).select("record_id", "z.*")
 
 
 def covered(records: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
     """(record_id, holdings) of records that an entry covers. An equi-join on the serial number with ranges as its
     residual; only keys are shuffled, and distinct pairs combined map-side."""
-    r = _dated(records.drop("title") if "title" in records.columns else records)
-    r = r.select("*", F.explode(F.array_distinct("serials")).alias("serial")).drop("serials")
+    r = _keyed(records, F.array_distinct("serials"), "serial")
     return r.join(prepare_entries(entries, now), "serial").filter(_residual()).select("record_id", "holdings").distinct()
 
 
@@ -68,7 +88,7 @@ def covered_by_title(records: DataFrame, entries: DataFrame, now: Column) -> Dat
     """(record_id, holdings) where the title of a record is the publication title (publication_title) of an entry that
     covers it; empty titles match nothing."""
     e = prepare_entries(entries.withColumn("title", F.col("publication_title")).filter("title <> ''"), now, "title")
-    return _dated(records.drop("serials") if "serials" in records.columns else records).join(e, "title").filter(_residual()).select("record_id", "holdings").distinct()
+    return _keyed(records, F.array("title"), "title").join(e, "title").filter(_residual()).select("record_id", "holdings").distinct()
 
 
 def serial_list(entries: DataFrame) -> Column:

@@ -41,7 +41,7 @@ def test_coverage_with_issues(spark, entry, record, ok):
 def test_holdings_rows(spark, tmp_path):
     (tmp_path / "k.tsv").write_text("publication_title\tprint_identifier\tall_issns\tdate_first_issue_online\textra\nT\t1234567x\t1990-0104;1990-009x\t2000\tz\nU\tx\n")
     k = io.kbart(spark, str(tmp_path / "k.tsv"))
-    assert len(k.columns) == 33 and k.count() == 2 and k.filter("all_issns = ''").count() == 1
+    assert len(k.columns) == 34 and k.count() == 2 and k.filter("all_issns = ''").count() == 1
     assert [r.serial for r in coverage.index_by_serial(k).orderBy("serial").collect()] == ["1234-567X", "1990-009x", "1990-0104"]
     e = coverage.entries_of(k, F.lit("H"))
     assert {(r.holdings, r.first_date) for r in e.collect()} == {("H", "2000")}
