@@ -429,3 +429,81 @@ def test_votes_brute_force():
         votes = [(max(c, 1e-3) ** 8, label) for c, label in zip(cos, y) if c >= kth - 1e-6]
         assert abs(got[i] - sum(w * label for w, label in votes) / sum(w for w, _ in votes)) < 5e-3
     assert np.array_equal(got, space.score(asked)) and ((got >= 0) & (got <= 1)).all()
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> list[int]:
+    """The smallest number that links reach, of each set, by brute force."""
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if len(sets[i]) and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_rtree_forest():
+    """Three levels and more: forests over points, verified by whole sets, join what brute force joins; sides are kept apart."""
+    rng = np.random.default_rng(5)
+    base = [rng.integers(0, 1 << 63, 90).astype(np.uint64) for _ in range(12)]
+    sets = []
+    for i in range(700):
+        s = base[i % 12].copy()
+        k = int(rng.integers(0, 16))
+        s[rng.choice(90, k, replace=False)] = rng.integers(0, 1 << 63, k).astype(np.uint64)
+        sets.append(np.unique(s[: 90 - i % 7]))
+    n, comp = np.array([len(s) for s in sets]), np.arange(700)
+    points = [near_join.counts_of(near_join.point(s)) for s in sets]
+    assert all(p.sum() == len(s) for p, s in zip(points, sets))
+    none = np.full((700, near_join.EARLIER), near_join.NONE)
+    tree = near_join.RTree(n, comp, points, none)
+    assert len(tree.levels) >= 3
+    overlap = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    pairs = list(tree.forest(75, overlap))
+    assert len(pairs) < 700 and all(100 * overlap(i, j) >= 75 * (n[i] + n[j] - overlap(i, j)) for i, j in pairs)
+    want = _linked(sets, 75)
+    root = list(range(700))
+    for _ in range(700):
+        before = list(root)
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            break
+    assert root == want and len(set(want)) > 12
+    side = (np.arange(700) % 2).astype(np.int64)
+    assert all(side[i] != side[j] for i, j in near_join.RTree(n, comp, points, none, side).forest(75))
+
+
+def test_near_join_tiles(spark, monkeypatch):
+    """Buckets beyond a cell are tiled; chains at the edge of 75 % hold; a frequent bucket is dealt by node; copies and nulls."""
+    monkeypatch.setattr(near_join, "CELL", 40)
+    monkeypatch.setattr(near_join, "FREQUENT", 20)
+    rng = np.random.default_rng(13)
+    rows: list[tuple] = [(None, None), (None, ""), (None, "one two"), (900, "one two"), (901, "ONE two")]
+    for g in range(2):
+        words = [f"g{g}w{i}" for i in range(60)]
+        for i in range(130):
+            w = words.copy()
+            for _ in range(int(rng.integers(0, 4))):
+                w[int(rng.integers(60))] = f"x{rng.integers(10_000)}"
+            rows.append((1000 * (g + 1) + i, " ".join(w)))
+    rows += [(None if i % 2 else 5000, rows[8][1]) for i in range(30)]
+    chain = [f"c{i}" for i in range(400)]
+    rows += [(6000 + i, " ".join(chain[8 * i : 8 * i + 60])) for i in range(40)]  # each links with its neighbours only
+    sets = common.shingle_sets(pa.array([t for _, t in rows], pa.string()))
+    want = _linked(sets, 75)
+    smallest = {}
+    for (i, _), w, s in zip(rows, want, sets):
+        if i is not None and len(s):
+            smallest[w] = min(smallest.get(w, i), i)
+    expected = sorted(str((i, len(s), smallest.get(w) if len(s) else i)) for (i, _), w, s in zip(rows, want, sets))
+    got = near_join.near_join(spark, spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int"))
+    assert sorted(str(tuple(r)) for r in got.collect()) == expected
+    assert near_join.near_join(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
