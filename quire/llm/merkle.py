@@ -36,48 +36,55 @@ def _bare(paragraph: Column) -> Column:
     return F.rtrim(paragraph, F.lit(SPACE))
 
 
-def spacing(text: Column) -> Column:
-    """The white space behind each paragraph, joined by commas."""
-    return F.array_join(F.transform(paragraphs(text), lambda p: F.substr(p, F.length(_bare(p)) + 1)), ",")
+def spacing(own: Column) -> Column:
+    """The white space behind each of the paragraphs, joined by commas."""
+    return F.array_join(F.transform(own, lambda p: F.substr(p, F.length(_bare(p)) + 1)), ",")
 
 
-def tree(text: Column) -> Column:
-    """Sections, each as its leaves' hashes (whole digests) joined by commas."""
-    joined = F.array_join(F.transform(paragraphs(text), lambda p: F.md5(_bare(p))), ",")
-    return F.filter(F.split(F.regexp_replace(joined, "([0-9a-f]{31}[08]),", "$1;"), ";"), lambda s: s != "")
+def tree(own: Column) -> Column:
+    """Sections of paragraphs, each as its leaves' hashes (whole digests) joined by commas."""
+    joined = F.array_join(F.transform(own, lambda p: F.md5(_bare(p))), ",")
+    return F.filter(F.split(F.regexp_replace(joined, "([08]),", "$1;"), ";"), lambda s: s != "")
 
 
 def digests(sections: Column) -> Column:
     return F.transform(sections, lambda s: F.sha2(s, 256))
 
 
-def root(sections: Column, space: Column) -> Column:
-    return F.sha2(F.concat(F.array_join(digests(sections), "."), F.lit("/"), F.sha2(space, 256)), 256)
+def with_prints(df: DataFrame, **texts: str) -> DataFrame:
+    """df with the fingerprints of the named texts. Each step is a column of its own and worked out once."""
+    kept = df.columns
+    df = df.withColumns({f"_p_{k}": paragraphs(F.col(c)) for k, c in texts.items()})
+    df = df.withColumns({f"_t_{k}": tree(F.col(f"_p_{k}")) for k in texts} | {f"_s_{k}": F.sha2(spacing(F.col(f"_p_{k}")), 256) for k in texts})
+    df = df.withColumns({f"_d_{k}": digests(F.col(f"_t_{k}")) for k in texts})
 
+    def printed(k: str) -> Column:
+        root = F.sha2(F.concat(F.array_join(f"_d_{k}", "."), F.lit("/"), f"_s_{k}"), 256)
+        above = F.array_join(F.transform(F.col(f"_d_{k}"), lambda d: F.substring(d, 1, SECTION_DIGITS)), ".")
+        leaves = F.regexp_replace(F.array_join(f"_t_{k}", ";"), rf"([0-9a-f]{{{LEAF_DIGITS}}})[0-9a-f]{{{32 - LEAF_DIGITS}}}", "$1")
+        return F.concat(root, F.lit("/"), above, F.lit(":"), leaves)
 
-def fingerprint(sections: Column, space: Column) -> Column:
-    """Of a tree() and the spacing() of the same text."""
-    above = F.array_join(F.transform(digests(sections), lambda d: F.substring(d, 1, SECTION_DIGITS)), ".")
-    leaves = F.regexp_replace(F.array_join(sections, ";"), rf"([0-9a-f]{{{LEAF_DIGITS}}})[0-9a-f]{{{32 - LEAF_DIGITS}}}", "$1")
-    return F.concat(root(sections, space), F.lit("/"), above, F.lit(":"), leaves)
+    return df.select(*kept, *[printed(k).alias(k) for k in texts])
 
 
 def _counted(df: DataFrame, **lists: str) -> DataFrame:
-    """With columns of the lists' elements in order of value, each with its number among equal ones: bags as sets, in linear
-    time. Each step is a column of its own, so that nothing is worked out again for each element."""
-    df = df.withColumns({f"_v_{k}": F.array_sort(F.col(c)) for k, c in lists.items()})
+    """With columns of the lists' elements, repeated ones with their number: bags as sets, in linear time. Lists without
+    repeats stay as they are. Each step is a column of its own, so that nothing is worked out again for each element."""
+    repeats = lambda x: F.size(F.array_distinct(x)) < F.size(x)
+    df = df.withColumns({f"_v_{k}": F.when(repeats(F.col(c)), F.array_sort(F.col(c))) for k, c in lists.items()})
 
     def starts(v: Column) -> Column:
-        return F.when(F.size(v) > 0, F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1))))
+        return F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1)))
 
-    df = df.withColumns({f"_a_{k}": starts(F.col(f"_v_{k}")) for k in lists})
+    df = df.withColumns({f"_a_{k}": F.when(F.col(f"_v_{k}").isNotNull(), starts(F.col(f"_v_{k}"))) for k in lists})
 
-    def numbered(v: Column, at: Column) -> Column:
+    def numbered(x: Column, v: Column, at: Column) -> Column:
         ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(v)))
-        runs = F.zip_with(at, ends, lambda a, b: F.struct(a.alias("a"), (b - a).alias("n"), F.get(v, a).alias("x")))
-        return F.coalesce(F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), r["n"]), lambda k: F.concat(r["x"], F.lit("#"), k.cast("string"))))), F.array().cast("array<string>"))
+        runs = F.zip_with(at, ends, lambda a, b: F.struct((b - a).alias("n"), F.get(v, a).alias("x")))
+        each = F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), r["n"]), lambda k: F.when(k == 1, r["x"]).otherwise(F.concat(r["x"], F.lit("#"), k.cast("string"))))))
+        return F.when(v.isNull(), x).otherwise(each)
 
-    df = df.withColumns({k: numbered(F.col(f"_v_{k}"), F.col(f"_a_{k}")) for k in lists})
+    df = df.withColumns({k: numbered(F.col(c), F.col(f"_v_{k}"), F.col(f"_a_{k}")) for k, c in lists.items()})
     return df.drop(*[f"_{x}_{k}" for x in "va" for k in lists])
 
 
@@ -108,7 +115,7 @@ def with_differences(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """df with the paragraphs of text a, as (at, paragraph), that stand in sections which text b has not and are not among the
     other's paragraphs there: where a differs. Empty if the roots are equal."""
     kept = df.columns
-    df = _counted(df.withColumns({"_sx": tree(F.col(a)), "_sy": tree(F.col(b)), "_own": paragraphs(F.col(a))}), _cx="_sx", _cy="_sy")
+    df = _counted(df.withColumns({"_own": paragraphs(F.col(a)), "_other": paragraphs(F.col(b))}).withColumns({"_sx": tree(F.col("_own")), "_sy": tree(F.col("_other"))}), _cx="_sx", _cy="_sy")
     df = df.withColumns({"_rx": _rest(F.col("_cx"), F.col("_cy")), "_ry": _rest(F.col("_cy"), F.col("_cx"))}).withColumn("_lost", F.array_except("_rx", "_ry"))
     numbered = F.transform("_own", lambda p, i: F.struct(i.alias("at"), p.alias("paragraph"), F.md5(_bare(p)).alias("h")))
     found = F.filter(numbered, lambda n: F.array_contains("_lost", n["h"]))
@@ -116,7 +123,7 @@ def with_differences(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
 
 
 def in_order(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the text of the next document in descending doc_id, cyclic.
+    """doc_id, text, fingerprint, next_text, next_print: those of the next document in descending doc_id, cyclic.
 
     Documents are dealt to ranges of doc_id, as many as their bytes need, bounded by approximate quantiles; null ids to
     ranges of a hash of the text. The first document of a range is dealt to the range before as well, as its end, so that
@@ -124,8 +131,9 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"), F.count("doc_id").alias("ids")).first()
+    rows = with_prints(rows, fingerprint="text")
     if not size.n:
-        return rows.select("doc_id", "text", F.col("text").alias("next_text"))
+        return rows.select("doc_id", "text", "fingerprint", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
     ranges = max(2, min(RANGES, max(256, -(-size.bytes // RANGE_BYTES)), size.n))
     own = max(2, round(ranges * size.ids / size.n))
     nulls = max(1, ranges - own)
@@ -142,7 +150,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     of_null = len(cuts) + 1 + F.floor((F.shiftrightunsigned(F.col("th"), 32).cast("long") + F.lit(1 << 31)) % F.lit(1 << 32) * nulls / F.lit(1 << 32))
     rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), of_null).otherwise(len(cuts) - under).cast("int"))
     first = rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).alias("f")
-    heads = rows.join(F.broadcast(first), "bucket").filter(F.col("doc_id").eqNullSafe(F.col("f.top"))).groupBy("bucket", "f.top").agg(F.min("th").alias("least"))  # a row for each range, RANGES at most
+    heads = rows.drop("fingerprint").join(F.broadcast(first), "bucket").filter(F.col("doc_id").eqNullSafe(F.col("f.top"))).groupBy("bucket", "f.top").agg(F.min("th").alias("least"))  # a row for each range, RANGES at most
     order = W.orderBy("bucket")
     last = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     heads = heads.select(F.col("bucket").alias("own"), "top", "least", F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(last)).alias("before"))
@@ -150,9 +158,10 @@ def in_order(docs: DataFrame) -> DataFrame:
     is_head = F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("th") == F.col("least"))
     here = F.struct(F.col("bucket").alias("at"), F.lit(False).alias("end"))
     copies = F.when(is_head, F.array(here, F.struct(F.col("before").alias("at"), F.lit(True).alias("end")))).otherwise(F.array(here))
-    dealt = dealt.select("doc_id", "text", "th", F.explode(copies).alias("c")).select("doc_id", "text", "th", "c.at", "c.end")
+    dealt = dealt.select("doc_id", "text", "fingerprint", "th", F.explode(copies).alias("c")).select("doc_id", "text", "fingerprint", "th", "c.at", "c.end")
     w = W.partitionBy("at").orderBy("end", F.desc_nulls_last("doc_id"), "th")
-    return dealt.withColumn("next_text", F.lead("text").over(w)).filter(~F.col("end")).select("doc_id", "text", "next_text")
+    both = dealt.withColumn("next_text", F.lead("text").over(w)).withColumn("next_print", F.lead("fingerprint").over(w))
+    return both.filter(~F.col("end")).select("doc_id", "text", "fingerprint", "next_text", "next_print")
 
 
 def merkle_fingerprints(docs: DataFrame) -> DataFrame:
@@ -160,9 +169,7 @@ def merkle_fingerprints(docs: DataFrame) -> DataFrame:
     rows = in_order(docs).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.withColumn("edited", edited)
-    texts = {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"}
-    rows = rows.withColumns({f"_tree_{n}": tree(F.col(c)) for n, c in texts.items()} | {f"_space_{n}": spacing(F.col(c)) for n, c in texts.items()})
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[fingerprint(F.col(f"_tree_{n}"), F.col(f"_space_{n}")).alias(n) for n in texts])
-    rows = with_likeness(with_likeness(rows, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
-    return rows.drop("next_fingerprint")
+    rows = with_prints(rows.withColumn("edited", edited), edited_fingerprint="edited")
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "next_print")
+    rows = with_likeness(with_likeness(rows, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_print", "near_next")
+    return rows.drop("next_print")

@@ -339,7 +339,7 @@ def test_license_spans(spark):
 def test_merkle_walk(spark):
     rows = [("Alpha beta. Alpha beta. Gamma.", "Gamma. Alpha beta."), ("a. b. c.", "a.  b. c."), ("", "x"), ("a. b. c. d.", "a. b. X. d."), ("", ""), ("a b", "a b")]
     df = spark.createDataFrame(rows, "a string, b string")
-    prints = df.withColumns({n: merkle.fingerprint(merkle.tree(F.col(c)), merkle.spacing(F.col(c))) for n, c in (("fa", "a"), ("fb", "b"))})
+    prints = merkle.with_prints(df, fa="a", fb="b")
     got = merkle.with_differences(merkle.with_likeness(prints, "fa", "fb", "near"), "a", "b", "lost").collect()
     assert [r.near for r in got] == [0.4, 1.0, 0.0, 0.675, 1.0, 1.0]
     assert [r.fa == r.fb for r in got] == [False, False, False, False, True, True] and [[x.paragraph for x in r.lost] for r in got] == [[], [], [], ["c. "], [], []]
