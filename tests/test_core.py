@@ -96,3 +96,12 @@ def test_registry_has_sql():
     from quire.plans import catalogue
 
     assert set(catalogue.ORACLES) <= set(catalogue.QUERIES) and len(catalogue.QUERIES) > 50
+
+
+def test_import_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 100"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1])
