@@ -123,10 +123,15 @@ def titles(df: DataFrame) -> DataFrame:
 
 
 @crosswalk("pages")
-def pages(df: DataFrame, longest: int = TITLE_LIMIT) -> DataFrame:
-    """Web pages (identifier, url, html): the title, the language that the page states."""
-    title = F.nullif(X.unescape_trim(F.regexp_extract("html", "(?is)<title[^>]*>([^<]*)</title>", 1)), F.lit(""))
-    lang = F.nullif(F.regexp_extract("html", '(?i)<html[^>]* lang="([a-z]+)"', 1), F.lit(""))
+def pages(df: DataFrame, longest: int = TITLE_LIMIT, raw: bool = False) -> DataFrame:
+    """Web pages (identifier, url, html): the title, the language that the page states. raw: from plain lower-case tags only,
+    and the title as it stands there, with its references and outer spaces."""
+    if raw:
+        title, lang = F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
+    else:
+        title = X.unescape_trim(F.regexp_extract("html", "(?is)<title[^>]*>([^<]*)</title>", 1))
+        lang = F.regexp_extract("html", '(?i)<html[^>]* lang="([a-z]+)"', 1)
+    title, lang = F.nullif(title, F.lit("")), F.nullif(lang, F.lit(""))
     skip = F.when(title.isNull(), "NO_TITLE").when(F.length(title) > longest, "TOO_LONG_TITLE")
     return intermediate(df, record_id=F.col("identifier"), title=title, languages=F.array_compact(F.array(lang)), urls=F.array("url"), skip_reason=skip)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,28 @@ def test_lists(spark):
     df = spark.createDataFrame([(" a;;b ;a", ["a", "b", "a", "c"])], "s string, t array<string>")
     got = df.select(S.split_trim(F.col("s"), ";"), S.remove_each(F.col("t"), F.array(F.lit("b"))), lookups.preference(F.lit("q"), ["p", "q"]), lookups.preference(F.lit("z"), ["p"])).first()
     assert got[:] == (["a", "b", "a"], ["a", "a", "c"], 1, 9999)
+
+
+def differences(spark, name, path):
+    """What a query gives beyond its SQL, and the SQL beyond it, over pages at the path."""
+    import duckdb
+
+    from quire.plans import catalogue, more  # noqa: F401
+
+    db = duckdb.connect()
+    db.execute(f"create view pages as select * from '{path}/pages.parquet/*.parquet'")
+    got, want = (Counter(map(tuple, rows)) for rows in (catalogue.QUERIES[name](spark, str(path)).collect(), db.execute(catalogue.ORACLES[name]).fetchall()))
+    return [*(got - want).elements()], [*(want - got).elements()]
+
+
+ODD_TITLES = ["A &amp; b", " outer ", "x" * 51 + "&amp;", "x" * 55 + " ", "", " ", "line\nbreak", "a</title><title>b", "é\U0001f600" * 28]
+
+
+def test_pages_as_in_sql(spark, tmp_path):
+    """Titles keep references and outer spaces; other tags than plain ones are no titles; each row counts, ids or not."""
+    made = [f'<html lang="de"><title>{t}</title>' for t in ODD_TITLES] + ["<TITLE>a</TITLE>", '<title id="x">a</title>', '<html class="x" lang="fr"><title>a</title>', '<HTML LANG="EN">', '<html lang="x-y">', "", None]
+    rows = [(i, f"http://{i}", h) for i, h in enumerate(made)] + [(0, "http://again", made[0]), (None, None, made[1]), (None, "u", made[1])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert differences(spark, "c_html_crosswalk", tmp_path) == ([], [])
+    (tidy,) = C.FORMATS["pages"](spark.createDataFrame([("1", "u", '<HTML a lang="de"><Title x> a &amp; b </Title>')], "identifier string, url string, html string")).collect()
+    assert (tidy.title, tidy.languages) == ("a & b", ["de"])
