@@ -13,6 +13,8 @@ from .scalars import author_name, strip_tags
 
 #: Identifier pattern: a fixed value.
 DOI = r"10[.][0-9]{2,6}/[^ \"\x1f\x1e]{3,}"
+#: Space separators of Unicode.
+SPACES = " \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 #: Languages by ISO 639-3 code: what names them besides the code. Pass others as `known`.
 LANGUAGES = {
     "ara": ["ar", "arabic"], "bul": ["bg", "bulgarian"], "cat": ["ca", "catalan"], "ces": ["cs", "cze", "czech"], "dan": ["da", "danish"], "deu": ["de", "ger", "german"], "ell": ["el", "gre", "greek"],
@@ -66,6 +68,11 @@ def clean_html(x: Column) -> Column:
     return F.trim(unescape(strip_tags(x)))
 
 
+def clean_html_amp(x: Column) -> Column:
+    """Ampersands' references replaced (others stay), then without tags and the spaces of any kind around."""
+    return F.trim(strip_tags(F.replace(x, F.lit("&amp;"), F.lit("&"))), F.lit(SPACES))
+
+
 def language_code(x: Column, known: dict[str, list[str]] | None = None) -> Column:
     """The three-letter code of a code or English name of a language; null for others."""
     table = {alias: code for code, names in (known or LANGUAGES).items() for alias in [code, *names]}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import scalars as S
+from quire.functions import text as X
 from quire.operators import lookups
 from quire.sources import crosswalks as C
 from quire.sources import exports
@@ -109,3 +110,12 @@ def test_pages_as_in_sql(spark, tmp_path):
     assert differences(spark, "c_html_crosswalk", tmp_path) == ([], [])
     (tidy,) = C.FORMATS["pages"](spark.createDataFrame([("1", "u", '<HTML a lang="de"><Title x> a &amp; b </Title>')], "identifier string, url string, html string")).collect()
     assert (tidy.title, tidy.languages) == ("a & b", ["de"])
+
+
+def test_headings_as_in_sql(spark, tmp_path):
+    """Only ampersands' references are replaced, before tags go; all kinds of spaces are trimmed; lines end at \\n only."""
+    inner = ["A &amp; b", "&quot;a&quot; &lt;b&gt; &#39;", "&amp;lt;i&amp;gt;", "<b>a</b>&a<i>mp;", "<a\nb>", "a\rb\u2028c\x85d", "a\nb", " \xa0\u3000a\u2009 ", "\ta\t", "\u200b", "", "a</h1><h1>b", "<a", "\U0001f600 "]
+    rows = [(i, f"<p><h1>{x}</h1>") for i, x in enumerate(inner)] + [(99, None), (99, ""), (None, "<H1>a</H1>"), (None, '<h1 id="x">a</h1>'), (0, "<h1>A</h1>")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert differences(spark, "f15_clean_html", tmp_path) == ([], [])
+    assert spark.createDataFrame([("<p>&lt;b&gt; &quot;</p>",)], "x string").select(X.clean_html(F.col("x"))).first()[0] == '<b> "'
