@@ -36,27 +36,49 @@ def _own_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="quire-shared-")
 
 
+#: Share of the driver's most heap from which a written table is followed by a collection.
+HEAP_SHARE = 0.4
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Collect the driver's garbage, unless its heap is small. Plans, shuffle files and broadcasts of steps that are over go
+    only with that, and a chain of many small steps lets the heap grow to its limit by what is garbage."""
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() >= HEAP_SHARE * runtime.maxMemory():
+        runtime.gc()
+
+
 def stash(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
 class Scratch:
-    """Written tables of one run of an operator, in the shared folder; close() deletes those that are not kept."""
+    """Written tables and broadcasts of one run of an operator, tables in the shared folder; close() deletes those that are
+    not kept, and all broadcasts."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.at, self.kept = spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", set()
+        self.sent: list = []
+
+    def broadcast(self, value):
+        self.sent.append(self.spark.sparkContext.broadcast(value))
+        return self.sent[-1]
 
     def table(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         path = f"{self.at}/{name}-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(path)
         if keep:
             self.kept.add(path)
+        collect_garbage(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        while self.sent:
+            self.sent.pop().destroy()
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.at)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         kept = {p.rsplit("/", 1)[-1] for p in self.kept}

@@ -470,7 +470,7 @@ def _with_partners(percent: int):
     return run
 
 
-def _bloom(spark: SparkSession, keys: DataFrame):
+def _bloom(own: Scratch, keys: DataFrame):
     """(filter as bytes, broadcast; its bits; column of a key's bit) of a one-column table."""
     n, name = keys.count(), keys.columns[0]
     bits = min(BLOOM_MOST, max(CHUNK, 1 << (BLOOM_SHARE * n).bit_length()))
@@ -489,7 +489,7 @@ def _bloom(spark: SparkSession, keys: DataFrame):
     out = np.zeros(bits // 8, dtype=np.uint8)
     for at, part in chunks.toLocalIterator():  # bits / CHUNK rows of 4 KB at most
         out[at * CHUNK // 8 : (at + 1) * CHUNK // 8] = np.frombuffer(part, np.uint8)
-    return spark.sparkContext.broadcast(out), bit
+    return own.broadcast(out), bit
 
 
 def _in(batch: pa.RecordBatch, bloom) -> pa.RecordBatch:
@@ -497,10 +497,10 @@ def _in(batch: pa.RecordBatch, bloom) -> pa.RecordBatch:
     return batch.filter(pa.array((bloom.value[at >> 3] >> (at & 7)) & 1 == 1))
 
 
-def _sets(spark: SparkSession, texts: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+def _sets(own: Scratch, texts: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
     """node and members of the needed nodes, each once. A Bloom filter leaves other texts out before they are cut into
     shingles."""
-    of_doc, doc_bit = _bloom(spark, needed.join(nodes, "node").select("doc_id"))
+    of_doc, doc_bit = _bloom(own, needed.join(nodes, "node").select("doc_id"))
 
     def run(batches):
         seen: set[int] = set()
@@ -532,9 +532,9 @@ def _verified(percent: int):
     return run
 
 
-def _verify(spark: SparkSession, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verify(own: Scratch, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets link."""
-    sets = _sets(spark, texts, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    sets = _sets(own, texts, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_verified(percent), "a long, b long")
@@ -569,7 +569,7 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
     texts = docs.select("doc_id", "text")
     every = own.table(texts.mapInArrow(_nodes, "doc_id long, node long, n long, point binary"), "members")
     members = every.filter("n >= 0").select("doc_id", "node", "n")
-    cells = spark.sparkContext.broadcast(_cells(every))  # CELLS booleans and counts
+    cells = own.broadcast(_cells(every))  # CELLS booleans and counts
     prefixes = texts.mapInArrow(_prefixes(percent, cells), "sig long, part int, node long")
     rows = prefixes.repartition("sig", "part").sortWithinPartitions("sig", "part", "node").mapInArrow(_buckets, "sig long, node long, first long, before long")
     rows = own.table(rows, "buckets")
@@ -578,7 +578,7 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
     points = own.table(points.dropDuplicates(["node"]), "points")
 
     near = rows.select(F.col("node").alias("b"), F.explode(F.array("first", "before")).alias("a")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = own.table(_verify(spark, texts, nodes, own.table(_proposed(near, points, percent), "near"), percent), "found")
+    links = own.table(_verify(own, texts, nodes, own.table(_proposed(near, points, percent), "near"), percent), "found")
     comp = components(own, links)
 
     names = [f"e{k}" for k in range(1, EARLIER + 1)]
@@ -587,7 +587,7 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
     at = own.table(at.select("sig", "cell", "side", "node", *names), "open")
     pairs = own.table(_joined(_with_points(at, comp, points, "point"), percent, exact=False), "pairs")
     told = own.table(pairs.select("a", "b").distinct(), "told")
-    late = own.table(_verify(spark, texts, nodes, told, percent), "found")
+    late = own.table(_verify(own, texts, nodes, told, percent), "found")
     links = links.union(late)
     again = pairs.join(told.join(late, ["a", "b"], "left_anti"), ["a", "b"], "left_semi").select("sig", "cell").distinct()
     again = own.table(again, "again")
@@ -595,7 +595,7 @@ def groups(spark: SparkSession, docs: DataFrame, percent: int = 75) -> DataFrame
         links = own.table(links, "found")
         comp = components(own, links)
         redo = own.table(at.join(again, ["sig", "cell"], "left_semi"), "redo")
-        whole = _sets(spark, texts, nodes, redo.select("node").distinct()).join(points.select("node", "n"), "node")
+        whole = _sets(own, texts, nodes, redo.select("node").distinct()).join(points.select("node", "n"), "node")
         links = links.union(own.table(_joined(_with_points(redo, comp, whole, "members"), percent, exact=True).select("a", "b").distinct(), "found"))
     final = components(own, links).withColumnRenamed("comp", "root")
 

@@ -507,3 +507,19 @@ def test_near_join_tiles(spark, monkeypatch):
     got = near_join.near_join(spark, spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int"))
     assert sorted(str(tuple(r)) for r in got.collect()) == expected
     assert near_join.near_join(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_driver_is_left_clean(spark, monkeypatch):
+    """The near join's broadcasts go with it, and a written table is followed by a collection once the driver's heap is large."""
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(send(x)) or sent[-1])
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i % 3, 30))) for i in range(9)], "doc_id long, text string")
+    rows = near_join.near_join(spark, docs).collect()
+    assert len(rows) == 9 and sent and not any(b._jbroadcast.isValid() for b in sent)
+
+    def collections():
+        return [b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Old" in b.getName() or "MarkSweep" in b.getName()]
+
+    before = collections()
+    monkeypatch.setattr(common, "HEAP_SHARE", 0)
+    assert common.stash(spark, docs, "t").count() == 9 and sum(collections()) > sum(before)
